@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import q_tokens
+from . import q_language, q_tokens
 
-_MODULES = [q_tokens]
+_MODULES = [q_tokens, q_language]
 QUERIES = {name: q for m in _MODULES for name, q in m.QUERIES.items()}
 ORACLES = {name: sql for m in _MODULES for name, sql in getattr(m, "ORACLES", {}).items()}
