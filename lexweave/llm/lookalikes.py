@@ -1,7 +1,179 @@
-"""Letters of Greek and Cyrillic that look like Latin ones, in natural order."""
+"""One consistent form for texts that look the same (problem 4).
 
+A mapping from what is written to what it looks like is compiled into a longest-match transducer over grapheme clusters:
+full-width and narrow forms become ordinary ones, a letter and its combining accents become the composed letter, spaces
+of any kind become a space, format characters vanish, ligatures come apart, look-alike letters of other scripts become
+Latin ones. The mapping is checked when it is compiled: every output must map to itself, so a second pass changes
+nothing and no two rules contradict each other. Letter case, accents, digits and line breaks are kept, so texts that look
+different stay different.
+
+The transducer runs in one pass: where a cluster has more than one character, or stands for more than one, it is matched
+as a whole (longest first); all other characters go through one table.
+
+Defined results: null stays null and empty stays empty; a line ends in a line feed however it ended; a combining mark
+without a letter before it is kept; repeated rows stay repeated.
+"""
+
+from __future__ import annotations
+
+import sys
+import unicodedata
+from functools import lru_cache
+
+import pyarrow as pa
+import regex
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ..operators.partitioning import cut
+
+# Letters of Greek and Cyrillic that look like Latin ones, in natural order.
 _CYRILLIC = ("АВЕЅІЈКМНОРСТУХҮԌԚԜЬаеѕіјорсухѵһԁԛԝӏ", "ABESIJKMHOPCTYXYGQWbaesijopcyxvhdqwl")
 _GREEK = ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹϳονιαρυ", "ABEZHIKMNOPTYXCjoviapu")
 
 #: Letter -> the Latin letter that it looks like.
 LETTERS: dict[str, str] = {a: b for pair in (_CYRILLIC, _GREEK) for a, b in zip(*pair, strict=True)}
+
+# Further single signs that look like common ones.
+_SIGNS = {"‐": "-", "‑": "-", "﹣": "-", "⁃": "-", "ʼ": "’", "∶": ":", "․": ".", "⁄": "/", "∕": "/", "ⅼ": "l"}
+_LIGATURES = {"ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "ſt", "ﬆ": "st", "ĳ": "ij", "Ĳ": "IJ", "ǆ": "dž", "ǉ": "lj", "ǌ": "nj"}
+
+
+class Conflict(ValueError):
+    """Rules of a mapping contradict each other."""
+
+
+def rules() -> dict[str, str]:
+    """The mapping for single characters: what is written -> what it looks like."""
+    out: dict[str, str] = dict(_SIGNS) | _LIGATURES | LETTERS
+    for code in range(sys.maxunicode + 1):
+        if 0x3400 <= code < 0xA000 or 0xAC00 <= code < 0xFB00 or 0xE0100 > code >= 0x20000:
+            continue
+        c = chr(code)
+        kind = unicodedata.category(c)
+        if kind == "Zs" or c == "\t":
+            out[c] = " "
+        elif kind == "Cf" and not 0x600 <= code < 0x900:
+            out[c] = ""
+        elif c in "\x85\v\f  ":
+            out[c] = "\n"
+        elif 0xFF00 <= code < 0xFFEF or unicodedata.decomposition(c).startswith(("<wide>", "<narrow>")):
+            out[c] = unicodedata.normalize("NFKC", c)
+        elif (apart := unicodedata.normalize("NFD", c))[0] in LETTERS and len(apart) > 1:
+            out[c] = unicodedata.normalize("NFC", LETTERS[apart[0]] + apart[1:])
+    return out
+
+
+class Transducer:
+    """A conflict-checked mapping, compiled; call it with a text."""
+
+    def __init__(self, mapping: dict[str, str]) -> None:
+        single = {k: v for k, v in mapping.items() if len(k) == 1}
+        closed: dict[str, str] = {}
+        for k, v in single.items():  # an output may itself be mapped: a full-width letter may look like a Latin one
+            seen = {k}
+            while (w := "".join(single.get(c, c) for c in v)) != v:
+                if v in seen:
+                    raise Conflict(f"{k!r} maps round in a circle")
+                seen.add(v)
+                v = w
+            closed[k] = v
+        self.table = {ord(k): v for k, v in closed.items() if k != v}
+        for k, v in closed.items():
+            if any(ord(c) in self.table for c in v):
+                raise Conflict(f"{k!r} maps to {v!r}, which is mapped itself")
+        self.longer = {k: v for k, v in mapping.items() if len(k) > 1}
+        for k, v in self.longer.items():
+            if self._plain(v) != v:
+                raise Conflict(f"{k!r} maps to {v!r}, which is mapped itself")
+        fixed = sorted(self.longer, key=len, reverse=True)
+        drop = "".join(regex.escape(chr(k)) for k, v in self.table.items() if not v)
+        # clusters: fixed ones, longest first, and letters with combining marks, format characters between them or not
+        parts = [regex.escape(k) for k in fixed] + [rf"[^\p{{M}}\s{drop}][{drop}]*\p{{M}}[\p{{M}}{drop}]*"]
+        self.clusters = regex.compile("|".join(parts))
+        self.has_marks = regex.compile(r"\p{M}|" + "|".join(map(regex.escape, fixed)) if fixed else r"\p{M}").search
+
+    def _plain(self, text: str) -> str:
+        return text.translate(self.table)
+
+    def _cluster(self, m: regex.Match) -> str:
+        whole = m[0]
+        if whole in self.longer:
+            return self.longer[whole]
+        # accents are composed with the letter as written, and once more with the letter it looks like
+        composed = unicodedata.normalize("NFC", "".join(c for c in whole if self.table.get(ord(c), "?")))
+        return unicodedata.normalize("NFC", self._plain(composed))
+
+    def __call__(self, text: str) -> str:
+        if text.isascii() and not any(c in text for c in "\t\v\f\r"):
+            return text
+        if self.has_marks(text):
+            text = self.clusters.sub(self._cluster, text)
+        return unicodedata.normalize("NFC", text.translate(self.table))
+
+
+@lru_cache(maxsize=1)
+def transducer() -> Transducer:
+    """The library's mapping, compiled once a worker."""
+    return Transducer(rules() | {"\r\n": "\n", "\r": "\n"})
+
+
+def canonical_text(text: str | None) -> str | None:
+    """The consistent form of one text."""
+    return text if text is None else transducer()(text)
+
+
+def canonical(text: Column) -> Column:
+    """The consistent form of a text column.
+
+    Printable ASCII and line feeds are their own form and stay in the JVM; everything else goes through the transducer
+    in Arrow batches.
+    """
+
+    @F.arrow_udf("string")
+    def mapped(texts: pa.Array) -> pa.Array:
+        to = transducer()
+        return pa.array([None if t is None else to(t) for t in texts.to_pylist()], pa.string())
+
+    return mapped(text)
+
+
+def needs_mapping(text: Column) -> Column:
+    """Whether a text holds anything but printable ASCII and line feeds."""
+    return text.rlike(r"[^\n -~]")
+
+
+def forms(items: DataFrame) -> DataFrame:
+    """(item_kind, item_id, form) of ``items`` (item_kind, item_id, text): the consistent form of each text."""
+    odd = canonical(F.when(needs_mapping(F.col("text")), F.col("text")))
+    return items.select("item_kind", "item_id", F.coalesce(odd, F.col("text")).alias("form"))
+
+
+def same_look(items: DataFrame, salts: int = 16) -> DataFrame:
+    """(item_kind, item_a, item_b): pairs of different items of a kind whose texts look the same but are not the same string.
+
+    Texts are mapped once and only their 128-bit hashes are kept, in a table written to the shared folder. Forms under
+    which all texts are the same string are left out by a partially aggregated minimum and maximum, so copies, however
+    many, never meet. Of the others, items with different texts are paired by a join on form and salt: one side is spread
+    over ``salts`` tasks and the other repeated in each, so no form's items have to fit one task.
+
+    Repeated deliveries count once; an item delivered with two texts is compared by both; null ids and texts have no pairs.
+    """
+    usable = items.where(F.col("text").isNotNull() & F.col("item_id").isNotNull())
+    two = lambda c, name: [F.xxhash64(c).alias(f"{name}a"), F.xxhash64(F.lit(29), c).alias(f"{name}b")]
+    odd = usable.select("item_kind", "item_id", *two(F.col("text"), "t"), canonical(F.when(needs_mapping(F.col("text")), F.col("text"))).alias("form"))
+    changed = F.col("form").isNotNull()
+    hashed = odd.select("item_kind", "item_id", "ta", "tb", *(F.when(changed, h).otherwise(F.col(f"t{h_name}")).alias(f"f{h_name}") for h, h_name in zip((F.xxhash64("form"), F.xxhash64(F.lit(29), F.col("form"))), "ab", strict=True)))
+    kept = cut(hashed)
+    key = ["item_kind", "fa", "fb"]
+    several = kept.groupBy(*key).agg(F.min("ta").alias("lo"), F.max("ta").alias("hi")).where("lo < hi").select(*key)
+    near = kept.join(several, key, "left_semi").distinct()
+    left = near.withColumn("salt", F.pmod(F.xxhash64("item_id"), F.lit(salts)).cast("int"))
+    right = near.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    a, b = left.alias("x"), right.alias("y")
+    on = F.col("x.salt") == F.col("y.salt")
+    for c in key:
+        on = on & (F.col(f"x.{c}") == F.col(f"y.{c}"))
+    differ = (F.col("x.ta") != F.col("y.ta")) | (F.col("x.tb") != F.col("y.tb"))
+    pairs = a.join(b, on & (F.col("x.item_id") < F.col("y.item_id")) & differ)
+    return pairs.select(F.col("x.item_kind").alias("item_kind"), F.col("x.item_id").alias("item_a"), F.col("y.item_id").alias("item_b")).distinct()

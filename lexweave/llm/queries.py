@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import q_language, q_leakage, q_tokens
+from . import q_language, q_leakage, q_texts, q_tokens
 
-_MODULES = [q_tokens, q_leakage, q_language]
+_MODULES = [q_tokens, q_texts, q_leakage, q_language]
 QUERIES = {name: q for m in _MODULES for name, q in m.QUERIES.items()}
 ORACLES = {name: sql for m in _MODULES for name, sql in getattr(m, "ORACLES", {}).items()}
