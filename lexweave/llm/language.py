@@ -92,7 +92,7 @@ class Parsed:
     """Texts as one run of folded symbols, cut into sentences."""
 
     def __init__(self, texts: list[str]) -> None:
-        glued = "\n".join(texts)
+        glued = "\n".join([*texts, ""])
         code = np.frombuffer(glued.encode("utf-32-le", "replace"), np.uint32)
         code = np.minimum(code, 0x1FFFF)
         self.starts = np.cumsum([0, *(len(t) + 1 for t in texts)])[:-1]
@@ -256,13 +256,13 @@ def detect(model: Model, texts: list[str]) -> list[list[tuple[int, int, int, flo
         if run and run[0] == d and run[1] == k:
             run[3] = e
             run[4] += s * g
-            run[5] += w
+            run[5] += int(w)
             run[6] += g
             continue
         if run:
             o = begins[run[0]]
             found[run[0]].append((run[1], run[2] - o, min(run[3] - o, len(texts[run[0]])), run[4] / run[6], run[5]))
-        run = [d, k, b, e, s * g, w, g]
+        run = [d, k, b, e, s * g, int(w), g]
     if run:
         o = begins[run[0]]
         found[run[0]].append((run[1], run[2] - o, min(run[3] - o, len(texts[run[0]])), run[4] / run[6], run[5]))
