@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .textnorm import WS, category_heading, normalize_text, strip, subpoint_note
+from .textnorm import WS, category_heading, let, normalize_text, strip, subpoint_note
 
 # Marker grammars. Group 1 is the label.
 LETTER = rf"(?i)\(([a-z])\)[{WS}]*"
@@ -28,11 +28,6 @@ LEAST_NUMBERS = 3
 ENTRY = "struct<label:string,text:string>"
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def marked(text: Column, marker: str, accept: Callable[[Column, Column, Column], Column] | None) -> Column:
     """struct(intro, entries) of a text; ``accept(label, last, ahead)`` says whether a marker continues the sequence.
 
@@ -110,7 +105,7 @@ def dashes(text: Column) -> Column:
 def subpoints(text: Column) -> Column:
     """struct(prefix, subpoints): lettered entries of a text, or Roman ones if there are none."""
     some = lambda m: F.struct(strip(m["intro"]).alias("prefix"), F.transform(_kept(m["entries"]), lambda e: F.struct(e["label"].alias("label"), normalize_text(e["text"]).alias("text"))).alias("subpoints"))
-    return let(normalize_text(text), lambda t: let(some(lettered(t)), lambda a: F.when(F.size(a["subpoints"]) > 0, a).otherwise(let(some(roman(t)), lambda r: F.when(F.size(r["subpoints"]) > 0, r).otherwise(F.struct(t.alias("prefix"), r["subpoints"].alias("subpoints")))))))
+    return let(normalize_text(text), lambda t: let(let(lettered(t), some), lambda a: F.when(F.size(a["subpoints"]) > 0, a).otherwise(let(let(roman(t), some), lambda r: F.when(F.size(r["subpoints"]) > 0, r).otherwise(F.struct(t.alias("prefix"), r["subpoints"].alias("subpoints")))))))
 
 
 def points(text: Column) -> Column:

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .markers import let
-from .textnorm import WS, normalize_text
+from .textnorm import WS, let, normalize_text
 
 # Grammars of references and cited acts.
 ORDINALS = "first|second|third|fourth|fifth|sixth|seventh|eighth|ninth|tenth"

@@ -6,24 +6,45 @@ function says otherwise.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import lru_cache
+
+from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Inside of a character class: Unicode white space. Reads the same in Java's and RE2's grammar.
-WS = r"\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+#: Inside of a character class: Unicode white space. One property is tested much faster than a list of ranges.
+WS = r"\p{IsWhite_Space}\x1c-\x1f"
+#: The characters of that class.
+WS_CHARS = "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 #: A line break.
 BREAK = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x{85}\x{2028}\x{2029}]"
 #: Fixed value: the special spaces that become plain ones.
 SPECIAL_SPACES = "\u00a0\u2009\u200a\u202f"
 
 
-def strip(c: Column, *, chars: str = WS) -> Column:
-    """Without white space (or other characters of a class) at both ends."""
-    return F.regexp_replace(c, rf"\A[{chars}]+|[{chars}]+\z", "")
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def built_once(build: Callable[..., tuple[Column, ...]]) -> Callable[..., tuple[Column, ...]]:
+    """Keeps what ``build`` makes, by its arguments, for as long as the JVM lives: large expressions take seconds to build."""
+
+    @lru_cache(maxsize=8)
+    def kept(gateway: int, *args: object) -> tuple[Column, ...]:
+        return build(*args)
+
+    return lambda *args: kept(id(SparkContext._gateway), *args)
+
+
+def strip(c: Column, *, chars: str = WS_CHARS) -> Column:
+    """Without white space (or other characters) at both ends."""
+    return F.btrim(c, F.lit(chars))
 
 
 def rstrip(c: Column) -> Column:
-    return F.regexp_replace(c, rf"[{WS}]+\z", "")
+    return F.rtrim(c, F.lit(WS_CHARS))
 
 
 def collapse(c: Column) -> Column:
@@ -33,8 +54,7 @@ def collapse(c: Column) -> Column:
 
 def split_lines(c: Column) -> Column:
     """Lines of a text, without one empty line after a last break; an empty text has none."""
-    parts = F.split(c, BREAK, -1)
-    return F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0)))).otherwise(parts)
+    return let(F.split(c, BREAK, -1), lambda p: F.when(F.element_at(p, -1) == "", F.slice(p, 1, F.greatest(F.size(p) - 1, F.lit(0)))).otherwise(p))
 
 
 # ------------------------------------------------------------------------------------------------------- cleaning
@@ -89,19 +109,24 @@ def normalize_text(c: Column) -> Column:
 
 def strip_markdown(c: Column) -> Column:
     """Inline emphasis removed; a space is put where bold text touched a word."""
-    c = F.regexp_replace(c, r"(?i)<br\s*/?>", " ")
     bold = r"(?s)\*\*(.+?)\*\*"
-    parts, runs = F.split(c, bold, -1), F.regexp_extract_all(c, F.lit(bold), F.lit(1))
 
-    def joined(run: Column, i: Column) -> Column:
-        before, after = F.get(parts, i), F.get(parts, i + 1)
-        at_start = (before == "") & (i == 0)
-        at_end = (after == "") & (i == F.size(runs) - 1)
-        lead = F.when(at_start | before.rlike(rf"[{WS}(\[{{\"']\z"), "").otherwise(" ")
-        tail = F.when(at_end | after.rlike(rf"\A[{WS}.,;:!?)\]}}\"']"), "").otherwise(" ")
-        return F.concat(lead, run, tail, after)
+    def unbold(text: Column, parts: Column, runs: Column) -> Column:
+        def joined(run: Column, i: Column) -> Column:
+            before, after = F.get(parts, i), F.get(parts, i + 1)
+            at_start = (before == "") & (i == 0)
+            at_end = (after == "") & (i == F.size(runs) - 1)
+            lead = F.when(at_start | before.rlike(rf"[{WS}(\[{{\"']\z"), "").otherwise(" ")
+            tail = F.when(at_end | after.rlike(rf"\A[{WS}.,;:!?)\]}}\"']"), "").otherwise(" ")
+            return F.concat(lead, run, tail, after)
 
-    c = F.when(F.size(runs) == 0, c).otherwise(F.concat(F.get(parts, F.lit(0)), F.array_join(F.transform(runs, joined), "")))
+        return F.concat(F.get(parts, F.lit(0)), F.array_join(F.transform(runs, joined), ""))
+
+    def apart(text: Column) -> Column:
+        runs = F.regexp_extract_all(text, F.lit(bold), F.lit(1))
+        return F.when(~text.contains("**"), text).otherwise(let(F.split(text, bold, -1), lambda p: let(runs, lambda r: unbold(text, p, r))))
+
+    c = let(F.regexp_replace(c, r"(?i)<br\s*/?>", " "), apart)
     c = F.replace(F.replace(c, F.lit("**"), F.lit("")), F.lit("__"), F.lit(""))
     c = F.regexp_replace(c, rf"[{WS}]+([.,;:!?])", "$1")
     return collapse(F.translate(c, "\u00a0", " "))
@@ -190,13 +215,14 @@ def instrument(*fields: str) -> Column:
 
 def category_heading(prefix: Column) -> Column:
     """(category, intro) of the text before a nested list: before its first comma if that is at most 12 words, else before a last colon."""
-    p = normalize_text(prefix)
-    bare = strip(F.regexp_replace(p, r":+\z", ""))
-    head = normalize_text(F.regexp_extract(bare, rf"\A([^,]+),[{WS}]+.+\z", 1))
-    cut = (head != "") & (F.size(F.split(head, " ")) <= 12)
-    category = F.when(p == "", F.lit("")).when(cut, head).otherwise(bare)
-    intro = F.when((p != "") & (cut | p.endswith(":")), p)
-    return F.struct(category.alias("category"), intro.alias("intro"))
+
+    def build(p: Column, bare: Column, head: Column) -> Column:
+        cut = (head != "") & (F.size(F.split(head, " ")) <= 12)
+        category = F.when(p == "", F.lit("")).when(cut, head).otherwise(bare)
+        return F.struct(category.alias("category"), F.when((p != "") & (cut | p.endswith(":")), p).alias("intro"))
+
+    comma = rf"\A([^,]+),[{WS}]+.+\z"
+    return let(normalize_text(prefix), lambda p: let(strip(F.regexp_replace(p, r":+\z", "")), lambda b: let(normalize_text(F.regexp_extract(b, comma, 1)), lambda h: build(p, b, h))))
 
 
 NOTE = rf"(?i)[{WS}]+(?=(?:This[{WS}]+(?:shall|does)[{WS}]+not[{WS}]+(?:include|apply)|except[{WS}]+that|except[{WS}]+where|provided[{WS}]+that|unless)\b)"
@@ -204,10 +230,13 @@ NOTE = rf"(?i)[{WS}]+(?=(?:This[{WS}]+(?:shall|does)[{WS}]+not[{WS}]+(?:include|
 
 def subpoint_note(text: Column) -> Column:
     """(main, note): the text cut at its first note opener, unless nothing would stand before it."""
-    parts = F.split(text, NOTE, 2)
-    main = strip(F.get(parts, F.lit(0)))
-    cut = (F.size(parts) == 2) & (main != "")
-    return F.struct(F.when(cut, main).otherwise(text).alias("main"), F.when(cut, strip(F.get(parts, F.lit(1)))).alias("note"))
+
+    def build(parts: Column) -> Column:
+        main = strip(F.get(parts, F.lit(0)))
+        cut = (F.size(parts) == 2) & (main != "")
+        return F.struct(F.when(cut, main).otherwise(text).alias("main"), F.when(cut, strip(F.get(parts, F.lit(1)))).alias("note"))
+
+    return let(F.split(text, NOTE, 2), build)
 
 
 def long_date(c: Column) -> Column:

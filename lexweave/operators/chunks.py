@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.markers import let
+from ..functions.textnorm import let
 from .tables import row_text
 
 MAX_CHARS = 1200

@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.markers import let
-from ..functions.textnorm import markdown_kind, picture_count, split_lines, strip, strip_markdown, without_picture_text
+from ..functions.textnorm import built_once, let, markdown_kind, picture_count, split_lines, strip, strip_markdown, without_picture_text
 from .tables import BLOCK, make_block, parse_table
 
-_GAP = r"[\t \x1f\x{a0}\x{1680}\x{2000}-\x{200a}\x{202f}\x{205f}\x{3000}]"
+_GAP = r"[\p{IsWhite_Space}\x1f&&[^\n]]"
 _HEADING = rf"\A(#{{1,6}}){_GAP}+([^\n]*\S[^\n]*)"
 
 
@@ -71,12 +70,9 @@ def with_ids(blocks: Column, element_id: Column) -> Column:
     return F.transform(blocks, lambda b, i: b.withField("id", F.concat(element_id, F.lit(".b"), (i + 1).cast("string"))))
 
 
-def sections(docs: DataFrame) -> DataFrame:
-    """(doc_id, seq, id, type, level, title, path, blocks) of documents (doc_id, text); sections without blocks are left out.
-
-    The path holds the titles of the nearest headings of each smaller level, also of those whose sections are left out.
-    Null and empty texts have no sections.
-    """
+@built_once
+def _expressions() -> tuple[Column, ...]:
+    """The parts of a text at its headings, from text, and sections with their blocks, from heads."""
     flat = F.array_join(F.transform(split_lines(without_picture_text(F.col("text"))), lambda x: strip(x)), "\n")
     parts = F.filter(F.split(flat, rf"(?dm)(?=^#{{1,6}}{_GAP}+\S)", -1), lambda s: s != "")
 
@@ -90,14 +86,23 @@ def sections(docs: DataFrame) -> DataFrame:
         return F.when(h["level"] > 0, F.concat(up, F.array(F.struct(h["level"].alias("level"), h["title"].alias("title"))))).otherwise(stack)
 
     empty = F.array().cast("array<struct<level:int,title:string>>")
-    df = docs.select("doc_id", F.transform(parts, head).alias("heads"))
     each = F.transform("heads", lambda h, i: F.struct(
         h["level"].alias("level"), h["title"].alias("title"),
         F.transform(F.aggregate(F.slice(F.col("heads"), 1, i + 1), empty, push), lambda x: x["title"]).alias("path"),
         blocks_of(F.split(h["body"], "\n", -1)).alias("blocks"),
     ))
-    kept = df.select("doc_id", F.filter(each, lambda s: F.size(s["blocks"]) > 0).alias("s"))
-    out = kept.select("doc_id", F.posexplode("s").alias("seq", "s")).withColumn("seq", F.col("seq") + 1)
+    return F.transform(parts, head), F.filter(each, lambda s: F.size(s["blocks"]) > 0)
+
+
+def sections(docs: DataFrame) -> DataFrame:
+    """(doc_id, seq, id, type, level, title, path, blocks) of documents (doc_id, text); sections without blocks are left out.
+
+    The path holds the titles of the nearest headings of each smaller level, also of those whose sections are left out.
+    Null and empty texts have no sections.
+    """
+    heads, kept = _expressions()
+    df = docs.select("doc_id", heads.alias("heads")).select("doc_id", kept.alias("s"))
+    out = df.select("doc_id", F.posexplode("s").alias("seq", "s")).withColumn("seq", F.col("seq") + 1)
     ident = F.concat("doc_id", F.lit(":sec"), F.col("seq").cast("string"))
     return out.select(
         "doc_id", "seq", ident.alias("id"), F.lit("section").alias("type"), F.lit(None).cast("string").alias("number"), "s.level", "s.title", "s.path",

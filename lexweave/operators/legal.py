@@ -6,9 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import markers as M
-from ..functions.markers import let
 from ..functions.refs import references
-from ..functions.textnorm import ANNEX_LINE, ARTICLE_LINE, CHAPTER_LINE, SECTION_LINE, WS, clean_line, long_date, normalize_text, roman_to_int, split_lines, strip
+from ..functions.textnorm import ANNEX_LINE, ARTICLE_LINE, CHAPTER_LINE, SECTION_LINE, WS, built_once, clean_line, let, long_date, normalize_text, roman_to_int, split_lines, strip
 from .generic import with_ids
 from .tables import make_block, parse_table
 
@@ -271,6 +270,15 @@ def segments(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", (F.col("seq") + 1).alias("seq"), "p.type", "p.number", "p.chapter", "p.lines")
 
 
+@built_once
+def _expressions(fix_last_point: bool) -> tuple[Column, ...]:
+    """The parsed tree, from type and prose, and the blocks, from parsed and tables."""
+    rest = F.slice("prose", 2, F.greatest(F.size("prose") - 1, F.lit(0)))
+    article = parse_article(normalize_text(F.array_join(rest, " ")), fix_last_point)
+    parsed = F.when(F.col("type") == "article", article).when(F.size("prose") < 2, _parsed()).otherwise(parse_annex(rest))
+    return parsed, let(F.col("parsed"), lambda p: element_blocks(p, F.col("tables")))
+
+
 def elements(docs: DataFrame, fix_last_point: bool = False) -> DataFrame:
     """Articles and annexes of documents (doc_id, text) with id, title, chapter, parsed tree and blocks."""
     df = segments(docs)
@@ -279,11 +287,8 @@ def elements(docs: DataFrame, fix_last_point: bool = False) -> DataFrame:
     tail = F.when(F.col("type") == "article", F.col("number")).otherwise(roman_to_int(F.col("number")).cast("string"))
     ident = F.concat("doc_id", F.lit(":"), F.when(F.col("type") == "article", "art").otherwise("annex"), tail)
     df = df.select("doc_id", "seq", ident.alias("id"), "type", "number", "chapter", prose.alias("prose"), tables.alias("tables"))
-    rest = F.slice("prose", 2, F.greatest(F.size("prose") - 1, F.lit(0)))
-    article = parse_article(normalize_text(F.array_join(rest, " ")), fix_last_point)
-    parsed = F.when(F.col("type") == "article", article).when(F.size("prose") < 2, _parsed()).otherwise(parse_annex(rest))
-    df = df.withColumn("title", normalize_text(F.get("prose", F.lit(0)))).withColumn("parsed", let(parsed, lambda p: p))
-    blocks = let(F.col("parsed"), lambda p: element_blocks(p, F.col("tables")))
+    parsed, blocks = _expressions(fix_last_point)
+    df = df.withColumn("title", normalize_text(F.get("prose", F.lit(0)))).withColumn("parsed", parsed)
     return df.select("doc_id", "seq", "id", "type", "number", F.lit(None).cast("int").alias("level"), "title", F.lit(None).cast("array<string>").alias("path"), "chapter", "parsed", with_ids(blocks, F.col("id")).alias("blocks"))
 
 

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..functions.markers import let
-from ..functions.textnorm import is_bold, strip, strip_markdown
+from ..functions.textnorm import is_bold, let, strip, strip_markdown
 
 CELL = "struct<col:string,val:string>"
 BLOCK = f"struct<id:string,type:string,text:string,ordered:boolean,items:array<string>,kind:string,columns:array<string>,rows:array<array<{CELL}>>>"
@@ -42,15 +41,13 @@ def parse_table(lines: Column) -> Column:
 
 
 def _shaped(rows: Column) -> Column:
-    width = F.array_max(F.transform(rows, F.size))
-    full = F.transform(rows, lambda r: F.concat(r, F.array_repeat(F.lit(""), width - F.size(r))))
-    return let(full, lambda r: F.when(F.size(r) > 0, _typed(r)))
+    fill = lambda w: F.transform(rows, lambda r: F.concat(r, F.array_repeat(F.lit(""), w - F.size(r))))
+    full = let(F.array_max(F.transform(rows, F.size)), fill)
+    return F.when(F.size(rows) > 0, let(full, lambda r: let(F.filter(r, lambda x, i: i % 2 == 0), lambda even: let(F.filter(r, lambda x, i: i % 2 == 1), lambda odd: _typed(r, even, odd)))))
 
 
-def _typed(rows: Column) -> Column:
+def _typed(rows: Column, even: Column, odd: Column) -> Column:
     n, width = F.size(rows), F.size(F.get(rows, F.lit(0)))
-    even = F.filter(rows, lambda r, i: i % 2 == 0)
-    odd = F.filter(rows, lambda r, i: i % 2 == 1)
     paired = (n % 2 == 0) & F.forall(even, lambda r: F.forall(r, is_bold)) & ~F.exists(odd, lambda r: F.exists(r, is_bold))
     listed = (width == 2) & F.forall(rows, lambda r: is_bold(F.get(r, F.lit(0))))
     cell = lambda k, v: F.struct(k.alias("col"), v.alias("val"))
@@ -59,14 +56,13 @@ def _typed(rows: Column) -> Column:
     pairs = F.filter(pairs, lambda p: F.get(p, F.lit(0))["val"] != "")
     from_list = F.transform(rows, lambda r: pair(F.get(r, F.lit(0)), F.get(r, F.lit(1))))
 
-    def named(acc: Column, i: Column) -> Column:
-        title = strip_markdown(F.get(F.get(rows, F.lit(0)), i))
-        name = F.when(title == "", F.concat(F.lit("col"), (i + 1).cast("string"))).otherwise(title)
-        for _ in range(3):
-            name = F.when(F.array_contains(acc, name), F.concat(name, F.lit("_"), (i + 1).cast("string"))).otherwise(name)
-        return F.concat(acc, F.array(name))
+    def named(acc: Column, h: Column) -> Column:
+        place = (F.size(acc) + 1).cast("string")
+        free = lambda name: F.when(F.array_contains(acc, name), F.concat(name, F.lit("_"), place)).otherwise(name)
+        first = let(strip_markdown(h), lambda t: F.when(t == "", F.concat(F.lit("col"), place)).otherwise(t))
+        return F.concat(acc, F.array(let(let(let(first, free), free), free)))
 
-    columns = F.aggregate(F.sequence(F.lit(0), width - 1), F.array().cast("array<string>"), named)
+    columns = F.aggregate(F.get(rows, F.lit(0)), F.array().cast("array<string>"), named)
     kv, no_columns = F.lit("key_value"), F.lit(None).cast("array<string>")
     shape = lambda kind, cols, r: F.struct(kind.alias("kind"), cols.alias("columns"), r.alias("rows"))
     plain = let(columns, lambda cols: shape(F.lit("table"), cols, F.transform(F.slice(rows, 2, F.greatest(n - 1, F.lit(0))), lambda r: F.zip_with(cols, r, lambda c, v: cell(c, strip_markdown(v))))))

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import nested_queries, text_queries
+from . import nested_queries, parser_queries, text_queries
 
-_MODULES = [nested_queries, text_queries]
+_MODULES = [nested_queries, text_queries, parser_queries]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -20,4 +20,4 @@ def oracle_sql() -> dict[str, str]:
 
 
 def flagship(spark: SparkSession, d: str) -> DataFrame:
-    return nested_queries.p1_found(spark, d)
+    return parser_queries.document_chunks(spark, d)

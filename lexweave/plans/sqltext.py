@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from ..functions.textnorm import BREAK, WS
+from ..functions import textnorm
+from ..functions.textnorm import BREAK
+
+#: Inside of a character class of RE2's grammar: Unicode white space.
+WS = r"\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 
 
 def q(text: str) -> str:
-    """A SQL string literal."""
+    """A SQL string literal; in patterns the white space class is put into RE2's grammar."""
+    text = text.replace(textnorm.WS, WS)
     return "'" + text.replace("'", "''") + "'"
 
 
