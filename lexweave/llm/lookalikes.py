@@ -55,7 +55,7 @@ def rules() -> dict[str, str]:
             out[c] = " "
         elif kind == "Cf" and not 0x600 <= code < 0x900:
             out[c] = ""
-        elif c in "\x85\v\f  ":
+        elif c in "\x85\v\f\u2028\u2029":
             out[c] = "\n"
         elif 0xFF00 <= code < 0xFFEF or unicodedata.decomposition(c).startswith(("<wide>", "<narrow>")):
             out[c] = unicodedata.normalize("NFKC", c)

@@ -34,6 +34,9 @@ _OPEN = {k: chr(0xFDD0 + i) for i, k in enumerate(KINDS)}
 _CLOSE = chr(0xFDDF)
 _MARKS = regex.compile("[\ufdd0-\ufdef]")
 
+_LATE_OPEN = regex.compile("([\ufdd0-\ufdde]+)(\\s+)")
+_EARLY_CLOSE = regex.compile("(\\s+)(\ufddf+)")
+
 # Elements of HTML and of wikis, in alphabetical order.
 TAGS = """a abbr article aside b big blockquote body br caption center cite code col colgroup dd del dfn div dl dt em figcaption
 figure font footer form gallery h1 h2 h3 h4 h5 h6 head header hr html i iframe img includeonly input ins kbd label li link main
@@ -185,6 +188,7 @@ def convert(text: str) -> tuple[str, list[tuple[str, int, int]], list[str]]:
             break
     if not applied:
         return text, [], []
+    work = _LATE_OPEN.sub(r"\2\1", _EARLY_CLOSE.sub(r"\2\1", work))  # marked places begin and end with what is shown
     work = regex.sub(r"[ \t]*\n[ \t]*(?:\n[ \t]*)+", "\n\n", work).strip()
     marks, stack, parts, size, at = [], [], [], 0, 0
     for m in _MARKS.finditer(work):

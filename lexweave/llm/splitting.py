@@ -39,7 +39,7 @@ def strength(atom: str) -> int:
     """Strength of the boundary after an atomic segment: 5 paragraph, 4 line, 3 sentence, 2 clause, 1 word."""
     word = atom.rstrip()
     gap = atom[len(word) :]
-    lines = gap.count("\n") + gap.replace("\r\n", "\n").count("\r") + gap.count(" ") + 2 * gap.count(" ")
+    lines = gap.count("\n") + gap.replace("\r\n", "\n").count("\r") + gap.count("\u2028") + 2 * gap.count("\u2029")
     if lines:
         return 5 if lines > 1 else 4
     return 3 if _SENTENCE(word) else 2 if _CLAUSE(word) else 1
@@ -50,7 +50,7 @@ def _hard(text: str, begin: int, end: int, size: int) -> list[int]:
     out = []
     while end - begin > size:
         cut = begin + size
-        while cut > begin + 1 and (unicodedata.category(text[cut])[0] == "M" or text[cut] in "‍‌" or text[cut - 1] == "‍"):
+        while cut > begin + 1 and (unicodedata.category(text[cut])[0] == "M" or text[cut] in "\u200d\u200c" or text[cut - 1] == "\u200d"):
             cut -= 1
         if cut == begin + 1 and size > 1:
             cut = begin + size
