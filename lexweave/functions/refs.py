@@ -30,31 +30,41 @@ def _reference(kind: str, target: Column, *rest: Column) -> Column:
     return F.struct(F.lit(kind).alias("type"), target.alias("target"), *(p.alias(n) for p, n in zip(parts, FIELDS[2:], strict=True)))
 
 
+_CUT = "\x01"
+
+
+def _groups(match: Column, pattern: str, n: int) -> Column:
+    """The groups of a text that matches as a whole, by one more match; a group that took no part is empty."""
+    return F.split(F.regexp_replace(match, rf"\A(?:{pattern})\z".replace("\\z)\\z", "\\z)"), _CUT.join(f"${k}" for k in range(1, n + 1))), _CUT, -1)
+
+
 def references(text: Column) -> Column:
     """All references of a text: those to sections, then those to articles, then those to chapters outside the section ones."""
-    every = lambda t, pattern, g: F.regexp_extract_all(t, F.lit(pattern), F.lit(g))
-    sections = F.zip_with(every(text, SECTION, 1), every(text, SECTION, 2), lambda a, b: _reference("section", F.concat(F.upper(a), F.lit("."), b)))
-    groups = [every(text, ARTICLE, g) for g in range(1, 6)]
+    whole = lambda t, pattern: F.regexp_extract_all(t, F.lit(pattern), F.lit(0))
+    none = F.slice(F.array(_reference("article", F.lit(""))), 1, 0)
 
-    def article(a: Column, i: Column) -> Column:
-        return _reference("article", a, F.get(groups[1], i), F.lower(F.get(groups[2], i)), F.lower(F.get(groups[3], i)), F.lower(F.get(groups[4], i)))
+    def article(m: Column) -> Column:
+        return let(_groups(m, ARTICLE, 5), lambda g: _reference("article", F.get(g, F.lit(0)), F.get(g, F.lit(1)), F.lower(F.get(g, F.lit(2))), F.lower(F.get(g, F.lit(3))), F.lower(F.get(g, F.lit(4)))))
 
-    masked = F.regexp_replace(text, SECTION, " ")
-    chapters = F.transform(every(masked, CHAPTER, 1), lambda a: _reference("chapter", F.upper(a)))
-    return F.concat(sections, F.transform(groups[0], article), chapters)
+    sections = F.transform(whole(text, SECTION), lambda m: let(_groups(m, SECTION, 2), lambda g: _reference("section", F.concat(F.upper(F.get(g, F.lit(0))), F.lit("."), F.get(g, F.lit(1))))))
+    chapters = F.transform(F.regexp_extract_all(F.regexp_replace(text, SECTION, " "), F.lit(CHAPTER), F.lit(1)), lambda a: _reference("chapter", F.upper(a)))
+    some = text.rlike("(?i)chapter")
+    return F.concat(F.when(some, sections).otherwise(none), F.transform(whole(text, ARTICLE), article), F.when(some, chapters).otherwise(none))
 
 
 def cited_act(text: Column) -> Column:
     """struct(kind, identifier, date, short_title, oj_reference) of the act that a text ends with, or null."""
 
-    def build(t: Column) -> Column:
-        g = lambda n: F.nullif(F.regexp_extract(t, CITED, n), F.lit(""))
-        title = F.trim(g(4))
-        act = F.struct(
-            F.lower(g(1)).alias("kind"), g(2).alias("identifier"),
-            F.try_to_date(F.initcap(F.lower(F.regexp_replace(g(3), rf"[{WS}]+", " "))), "d MMMM yyyy").alias("date"),
-            F.when(F.length(title) <= TITLE_LIMIT, title).alias("short_title"), F.trim(g(5)).alias("oj_reference"),
-        )
-        return F.when(g(1).isNotNull(), act)
-
-    return let(normalize_text(text), build)
+    def build(m: Column) -> Column:
+        def act(g: Column) -> Column:
+            part = lambda n: F.nullif(F.get(g, F.lit(n)), F.lit(""))
+            title = F.trim(part(3))
+            return F.struct(
+                F.lower(part(0)).alias("kind"), part(1).alias("identifier"),
+                F.try_to_date(F.initcap(F.lower(F.regexp_replace(part(2), rf"[{WS}]+", " "))), "d MMMM yyyy").alias("date"),
+                F.when(F.length(title) <= TITLE_LIMIT, title).alias("short_title"), F.trim(part(4)).alias("oj_reference"),
+            )
+
+        return F.when(m != "", let(_groups(m, CITED, 5), act))
+
+    return let(F.regexp_extract(normalize_text(text), CITED, 0), build)

@@ -49,7 +49,7 @@ def rstrip(c: Column) -> Column:
 
 def collapse(c: Column) -> Column:
     """Runs of white space become one space; none at the ends."""
-    return strip(F.regexp_replace(c, rf"[{WS}]+", " "), chars=" ")
+    return strip(F.regexp_replace(c, rf"[{WS}&&[^ ]][{WS}]*| [{WS}]+", " "), chars=" ")  # single spaces are no matches
 
 
 def split_lines(c: Column) -> Column:
@@ -62,7 +62,8 @@ def split_lines(c: Column) -> Column:
 
 def unicode_whitespace(c: Column) -> Column:
     """CR LF and CR become LF; the special spaces become plain ones."""
-    return F.translate(F.replace(c, F.lit("\r\n"), F.lit("\n")), "\r" + SPECIAL_SPACES, "\n" + " " * len(SPECIAL_SPACES))
+    c = F.replace(F.replace(c, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+    return F.regexp_replace(c, f"[{SPECIAL_SPACES}]", " ")
 
 
 def line_whitespace(c: Column) -> Column:
@@ -97,12 +98,12 @@ def clean_line(c: Column) -> Column:
     """A line without heading signs, bold signs and emphasis signs at its ends."""
     c = F.regexp_replace(strip(c), rf"\A#{{1,6}}[{WS}]*", "")
     c = F.replace(F.replace(c, F.lit("**"), F.lit("")), F.lit("__"), F.lit(""))
-    return strip(F.regexp_replace(strip(c), r"\A[_*]+|[_*]+\z", ""))
+    return strip(strip(strip(c), chars="_*"))
 
 
 def normalize_text(c: Column) -> Column:
     """Special spaces plain, no bullet before a marker such as ``(a)``, white space collapsed."""
-    c = F.translate(c, SPECIAL_SPACES, " " * len(SPECIAL_SPACES))
+    c = F.regexp_replace(c, f"[{SPECIAL_SPACES}]", " ")
     c = F.regexp_replace(c, rf"[-–—•·][{WS}]+(?=\([a-zA-Z0-9]+\)[{WS}])", "")
     return collapse(c)
 
@@ -126,10 +127,10 @@ def strip_markdown(c: Column) -> Column:
         runs = F.regexp_extract_all(text, F.lit(bold), F.lit(1))
         return F.when(~text.contains("**"), text).otherwise(let(F.split(text, bold, -1), lambda p: let(runs, lambda r: unbold(text, p, r))))
 
-    c = let(F.regexp_replace(c, r"(?i)<br\s*/?>", " "), apart)
+    c = let(F.regexp_replace(c, r"<[bB][rR]\s*/?>", " "), apart)
     c = F.replace(F.replace(c, F.lit("**"), F.lit("")), F.lit("__"), F.lit(""))
     c = F.regexp_replace(c, rf"[{WS}]+([.,;:!?])", "$1")
-    return collapse(F.translate(c, "\u00a0", " "))
+    return collapse(c)  # a no-break space is white space too
 
 
 def is_bold(c: Column) -> Column:
