@@ -99,49 +99,72 @@ def numbers(text: Column) -> Column:
 
 def dashes(text: Column) -> Column:
     """Texts of a dash or bullet list, those without text left out."""
-    return F.transform(_kept(marked(text, DASH, None)["entries"]), lambda e: normalize_text(e["text"]))
+    return F.transform(_kept(marked(normalize_text(text), DASH, None)["entries"]), lambda e: e["text"])
+
+
+# The following take texts that are normalised; parts of such texts only need to be stripped.
+
+
+def _subpoints(t: Column) -> Column:
+    some = lambda m: F.struct(strip(m["intro"]).alias("prefix"), _kept(m["entries"]).alias("subpoints"))
+    bare = F.struct(t.alias("prefix"), F.array().cast(f"array<{ENTRY}>").alias("subpoints"))
+    either = lambda a: F.when(F.size(a["subpoints"]) > 0, a).otherwise(let(let(roman(t), some), lambda r: F.when(F.size(r["subpoints"]) > 0, r).otherwise(bare)))
+    return F.when(~t.contains("("), bare).otherwise(let(let(lettered(t), some), either))
 
 
 def subpoints(text: Column) -> Column:
     """struct(prefix, subpoints): lettered entries of a text, or Roman ones if there are none."""
-    some = lambda m: F.struct(strip(m["intro"]).alias("prefix"), F.transform(_kept(m["entries"]), lambda e: F.struct(e["label"].alias("label"), normalize_text(e["text"]).alias("text"))).alias("subpoints"))
-    return let(normalize_text(text), lambda t: let(let(lettered(t), some), lambda a: F.when(F.size(a["subpoints"]) > 0, a).otherwise(let(let(roman(t), some), lambda r: F.when(F.size(r["subpoints"]) > 0, r).otherwise(F.struct(t.alias("prefix"), r["subpoints"].alias("subpoints")))))))
+    return let(normalize_text(text), _subpoints)
 
 
-def points(text: Column) -> Column:
-    """struct(intro, points) of a paragraph; a point is struct(label, text, subpoints)."""
+def normal_points(t: Column) -> Column:
+    """As ``points``, of a normalised text."""
 
     def point(e: Column) -> Column:
-        return let(subpoints(e["text"]), lambda s: F.struct(e["label"].alias("label"), F.when(F.size(s["subpoints"]) > 0, normalize_text(s["prefix"])).otherwise(normalize_text(e["text"])).alias("text"), s["subpoints"].alias("subpoints")))
+        return let(_subpoints(e["text"]), lambda s: F.struct(e["label"].alias("label"), F.when(F.size(s["subpoints"]) > 0, s["prefix"]).otherwise(e["text"]).alias("text"), s["subpoints"].alias("subpoints")))
+
+    return let(lettered(t), lambda m: F.struct(strip(m["intro"]).alias("intro"), F.transform(_kept(m["entries"]), point).alias("points")))
+
 
-    return let(lettered(text), lambda m: F.struct(strip(m["intro"]).alias("intro"), F.transform(_kept(m["entries"]), point).alias("points")))
+def points(text: Column) -> Column:
+    """struct(intro, points) of a paragraph; a point is struct(label, text, subpoints)."""
+    return let(normalize_text(text), normal_points)
 
 
-def nested_item(number: Column, body: Column) -> Column:
-    """struct(number, category, intro, text, subpoints) of a numbered item; subpoints are struct(label, text, note)."""
+def nested_item(number: Column, t: Column) -> Column:
+    """struct(number, category, intro, text, subpoints) of a numbered item's normalised text; subpoints are struct(label, text, note)."""
+    titled = rf"\A([^:]{{1,150}}):[{WS}]*(.+)\z"
 
-    def build(t: Column, s: Column) -> Column:
+    def build(s: Column) -> Column:
         deep = F.size(s["subpoints"]) > 0
-        head = category_heading(s["prefix"])
-        category = normalize_text(F.regexp_extract(t, rf"\A([^:]{{1,150}}):[{WS}]*(.+)\z", 1))
-        described = normalize_text(F.regexp_extract(t, rf"\A([^:]{{1,150}}):[{WS}]*(.+)\z", 2))
         notes = F.transform(s["subpoints"], lambda e: let(subpoint_note(e["text"]), lambda n: F.struct(e["label"].alias("label"), n["main"].alias("text"), n["note"].alias("note"))))
-        return F.struct(
-            number.alias("number"),
-            F.when(deep, F.nullif(head["category"], F.lit(""))).when(described != "", category).alias("category"),
-            F.when(deep, head["intro"]).alias("intro"),
-            F.when(~deep & (described != ""), F.concat(category, F.lit(": "), described)).when(~deep, t).alias("text"),
-            notes.alias("subpoints"),
-        )
 
-    return let(normalize_text(body), lambda t: let(subpoints(t), lambda s: build(t, s)))
+        def whole(category: Column, intro: Column, text: Column) -> Column:
+            return F.struct(number.alias("number"), category.alias("category"), intro.alias("intro"), text.alias("text"), notes.alias("subpoints"))
+
+        none = F.lit(None).cast("string")
+        headed = let(category_heading(s["prefix"], normal=True), lambda h: whole(F.nullif(h["category"], F.lit("")), h["intro"], none))
+        named = lambda c: F.when(c != "", whole(c, none, F.concat(c, F.lit(": "), strip(F.regexp_extract(t, titled, 2))))).otherwise(whole(none, none, t))
+        return F.when(deep, headed).otherwise(let(strip(F.regexp_extract(t, titled, 1)), named))
+
+    return let(_subpoints(t), build)
+
+
+def normal_items(t: Column) -> Column:
+    """As ``numbered_items``, of a normalised text."""
+    return F.transform(_kept(numbers(t)["entries"]), lambda e: nested_item(e["label"], e["text"]))
 
 
 def numbered_items(text: Column) -> Column:
     """Nested items of ``1. ... 2. ...``; items without text left out."""
-    return let(normalize_text(text), lambda t: F.transform(_kept(numbers(t)["entries"]), lambda e: nested_item(e["label"], e["text"])))
+    return let(normalize_text(text), normal_items)
+
+
+def normal_paren_items(t: Column) -> Column:
+    """As ``paren_items``, of a normalised text."""
+    return let(paren_numbers(t), lambda m: F.struct(strip(m["intro"]).alias("intro"), F.transform(_kept(m["entries"]), lambda e: nested_item(e["label"], e["text"])).alias("items")))
 
 
 def paren_items(text: Column) -> Column:
     """struct(intro, items) of a definitions list."""
-    return let(paren_numbers(text), lambda m: F.struct(strip(m["intro"]).alias("intro"), F.transform(_kept(m["entries"]), lambda e: nested_item(e["label"], e["text"])).alias("items")))
+    return let(normalize_text(text), normal_paren_items)

@@ -104,7 +104,7 @@ def clean_line(c: Column) -> Column:
 def normalize_text(c: Column) -> Column:
     """Special spaces plain, no bullet before a marker such as ``(a)``, white space collapsed."""
     c = F.regexp_replace(c, f"[{SPECIAL_SPACES}]", " ")
-    c = F.regexp_replace(c, rf"[-–—•·][{WS}]+(?=\([a-zA-Z0-9]+\)[{WS}])", "")
+    c = F.regexp_replace(c, rf"(?:[-–—•·][{WS}]+)+(?=\([a-zA-Z0-9]+\)[{WS}])", "")
     return collapse(c)
 
 
@@ -214,8 +214,11 @@ def instrument(*fields: str) -> Column:
     return F.to_json(F.struct(*(fields or ("celex", "eli", "title", "language", "publication_date"))))
 
 
-def category_heading(prefix: Column) -> Column:
-    """(category, intro) of the text before a nested list: before its first comma if that is at most 12 words, else before a last colon."""
+def category_heading(prefix: Column, normal: bool = False) -> Column:
+    """(category, intro) of the text before a nested list: before its first comma if that is at most 12 words, else before a last colon.
+
+    ``normal`` says that the text is normalised already.
+    """
 
     def build(p: Column, bare: Column, head: Column) -> Column:
         cut = (head != "") & (F.size(F.split(head, " ")) <= 12)
@@ -223,7 +226,8 @@ def category_heading(prefix: Column) -> Column:
         return F.struct(category.alias("category"), F.when((p != "") & (cut | p.endswith(":")), p).alias("intro"))
 
     comma = rf"\A([^,]+),[{WS}]+.+\z"
-    return let(normalize_text(prefix), lambda p: let(strip(F.regexp_replace(p, r":+\z", "")), lambda b: let(normalize_text(F.regexp_extract(b, comma, 1)), lambda h: build(p, b, h))))
+    text = prefix if normal else normalize_text(prefix)
+    return let(text, lambda p: let(strip(F.rtrim(p, F.lit(":"))), lambda b: let(strip(F.regexp_extract(b, comma, 1)), lambda h: build(p, b, h))))
 
 
 NOTE = rf"(?i)[{WS}]+(?=(?:This[{WS}]+(?:shall|does)[{WS}]+not[{WS}]+(?:include|apply)|except[{WS}]+that|except[{WS}]+where|provided[{WS}]+that|unless)\b)"

@@ -62,9 +62,8 @@ def numbered_paragraphs(entries: Column) -> Column:
     """Paragraphs of ``1. ... 2. ...``: text, or intro and points."""
 
     def one(e: Column, i: Column) -> Column:
-        body = normalize_text(e["text"])
-        return let(M.points(body), lambda p: let(F.size(p["points"]) > 0, lambda some: _paragraph(
-            i + 1, e["label"], F.when(some & (p["intro"] != ""), normalize_text(p["intro"])), F.when(~some, body), F.when(some, p["points"]))))
+        return let(M.normal_points(e["text"]), lambda p: let(F.size(p["points"]) > 0, lambda some: _paragraph(
+            i + 1, e["label"], F.when(some & (p["intro"] != ""), p["intro"]), F.when(~some, e["text"]), F.when(some, p["points"]))))
 
     return F.transform(entries, one)
 
@@ -77,7 +76,7 @@ def unnumbered_paragraphs(body: Column, fix_last_point: bool = False) -> Column:
 
     def build(m: Column) -> Column:
         none, no_points = _null("string"), _null(f"array<{_POINT}>")
-        entries = F.transform(m["entries"], lambda e: F.struct(e["label"].alias("label"), normalize_text(e["text"]).alias("text"), _null("array<struct<label:string,text:string>>").alias("subpoints")))
+        entries = F.transform(m["entries"], lambda e: F.struct(e["label"].alias("label"), strip(e["text"]).alias("text"), _null("array<struct<label:string,text:string>>").alias("subpoints")))
 
         def with_points(es: Column) -> Column:
             last = F.element_at(es, -1)
@@ -85,9 +84,9 @@ def unnumbered_paragraphs(body: Column, fix_last_point: bool = False) -> Column:
             parts = F.split(trailing, AFTER_LIST, 2)
             split_here = F.size(parts) == 2
             more = F.when(split_here, F.concat(F.get(parts, F.lit(0)), F.lit(";"))).otherwise(trailing)
-            twice = trailing if fix_last_point else normalize_text(F.concat(trailing, F.lit(" "), more))
+            twice = trailing if fix_last_point else F.concat(trailing, F.lit(" "), more)
             full = F.concat(F.slice(es, 1, F.greatest(F.size(es) - 1, F.lit(0))), F.array(last.withField("text", F.when(trailing == "", trailing).otherwise(twice))))
-            before = normalize_text(m["intro"])
+            before = strip(m["intro"])
             however = before.rlike(rf"(?i)(?:\A|[{WS}])However:[{WS}]*\z")
             lead = strip(F.regexp_replace(before, rf"(?i)[{WS}]*However:[{WS}]*\z", ""))
             plain = lambda t: F.array(_paragraph(F.lit(0), none, none, t, no_points))
@@ -120,7 +119,7 @@ def parse_article(body: Column, fix_last_point: bool = False) -> Column:
         text, closing = c["remaining"], c["closing"]
 
         def choose(n: Column) -> Column:
-            loose = let(M.paren_items(text), lambda p: F.when(F.size(p["items"]) > 0, _parsed(intro=p["intro"], items=_items(p["items"]), closing=closing)).otherwise(
+            loose = let(M.normal_paren_items(text), lambda p: F.when(F.size(p["items"]) > 0, _parsed(intro=p["intro"], items=_items(p["items"]), closing=closing)).otherwise(
                 _parsed(paragraphs=unnumbered_paragraphs(text, fix_last_point), closing=closing)))
             stripped = F.transform(n["entries"], lambda e: e.withField("text", strip(e["text"])))
             return F.when(F.size(n["entries"]) > 0, _parsed(paragraphs=numbered_paragraphs(stripped), closing=closing)).otherwise(loose)
@@ -139,7 +138,7 @@ def parse_annex(lines: Column) -> Column:
     def section(s: Column) -> Column:
         first = F.regexp_extract(s, r"\A[^\n]*", 0)
         text = normalize_text(F.regexp_replace(F.regexp_replace(s, r"\A[^\n]*\n?", ""), "\n", " "))
-        return F.struct(F.upper(F.regexp_extract(first, SECTION_LINE, 1)).alias("label"), normalize_text(F.regexp_extract(first, SECTION_LINE, 2)).alias("title"), _items(M.numbered_items(text)).alias("items"))
+        return F.struct(F.upper(F.regexp_extract(first, SECTION_LINE, 1)).alias("label"), normalize_text(F.regexp_extract(first, SECTION_LINE, 2)).alias("title"), _items(M.normal_items(text)).alias("items"))
 
     def numbered(t: Column) -> Column:
         def build(n: Column) -> Column:
@@ -148,7 +147,7 @@ def parse_annex(lines: Column) -> Column:
             return F.when(F.size(n["entries"]) > 0, _parsed(intro=F.nullif(strip(n["intro"]), F.lit("")), items=_items(items))).otherwise(let(M.marked(t, M.DASH, None), dashed))
 
         def dashed(m: Column) -> Column:
-            texts = F.filter(F.transform(m["entries"], lambda e: normalize_text(e["text"])), lambda x: x != "")
+            texts = F.filter(F.transform(m["entries"], lambda e: strip(e["text"])), lambda x: x != "")
             items = F.transform(texts, lambda x: F.struct(_null("string").alias("number"), _null("string").alias("label"), _null("string").alias("category"), _null("string").alias("intro"), x.alias("text"), _null("array<struct<label:string,text:string,note:string>>").alias("subpoints")))
             return F.when(F.size(m["entries"]) > 0, _parsed(intro=F.nullif(strip(m["intro"]), F.lit("")), items=items)).otherwise(_parsed(text=F.nullif(t, F.lit(""))))
 
