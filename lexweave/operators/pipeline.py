@@ -14,8 +14,12 @@ _COMMON = ("doc_id", "seq", "id", "type", "number", "level", "title", "path", "c
 
 
 def cleaned(docs: DataFrame) -> DataFrame:
-    """Documents with cleaned text; additional columns are kept."""
-    return docs.withColumn("text", clean_markdown(F.col("text")))
+    """Documents with cleaned text; additional columns are kept.
+
+    The text is generated, not projected, so that a filter on what follows from it does not clean it once more.
+    """
+    once = F.explode(F.array(clean_markdown(F.col("text")))).alias("text")
+    return docs.select(*(once if c == "text" else F.col(f"`{c}`") for c in docs.columns))
 
 
 def elements(docs: DataFrame) -> DataFrame:
