@@ -19,11 +19,14 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .partitioning import cut
+
 #: role -> (letter of its node ids, field of the parent that holds it, roles of its children)
 ROLES: dict[str, tuple[str, str, tuple[str, ...]]] = {
     "element": ("e", "elements", ("paragraph", "item", "block")),
@@ -123,20 +126,19 @@ def _variant(node: Column, role: str) -> Column:
     raise ValueError(f"the rules of {role} have no last one without tests")
 
 
-def _nodes(array: Column, role: str, parent: Column, record: Column, wide: bool) -> Column:
+def _nodes(array: Column, role: str, parent: Column, record: Column) -> Column:
     """All nodes of ``array`` and below as one array of structs; null entries keep their place."""
     letter, _, below = ROLES[role]
 
     def one(pair: Column) -> Column:
         node, place = pair["n"], pair["i"]
         me = F.concat(parent, F.lit(f"/{letter}"), place.cast("string"))
-        cols = [parent.alias("parent_id"), me.alias("child_id")]
-        if wide:
-            own = {c: node[c].cast("string") for c in FIELDS[role]}
-            cols += [record.alias("record"), F.lit(role).alias("role"), place.cast("int").alias("place"), _variant(node, role).alias("variant")]
-            cols += [own.get(c, F.lit(None).cast("string")).alias(c) for c in PAYLOAD]
-            cols += [(node if role == "row" else F.lit(None).cast("map<string,string>")).alias("cells")]
-        arrays = [F.array(F.struct(*cols))] + [_nodes(_children(node, r), r, me, record, wide) for r in below]
+        own = {c: node[c].cast("string") for c in FIELDS[role]}
+        cols = [parent.alias("parent_id"), me.alias("child_id"), record.alias("record"), F.lit(role).alias("role")]
+        cols += [place.cast("int").alias("place"), _variant(node, role).alias("variant")]
+        cols += [own.get(c, F.lit(None).cast("string")).alias(c) for c in PAYLOAD]
+        cols += [(node if role == "row" else F.lit(None).cast("map<string,string>")).alias("cells")]
+        arrays = [F.array(F.struct(*cols))] + [_nodes(_children(node, r), r, me, record) for r in below]
         return F.concat(*arrays) if len(arrays) > 1 else arrays[0]
 
     placed = F.transform(F.coalesce(array, F.array()), lambda n, i: F.struct(n.alias("n"), (i + 1).alias("i")))
@@ -144,11 +146,14 @@ def _nodes(array: Column, role: str, parent: Column, record: Column, wide: bool)
 
 
 def typed_nodes(current: DataFrame, wide: bool = True) -> DataFrame:
-    """Nodes of records with the declared schema; ``current`` has doc_id, volume and elements. No shuffle, no Python."""
+    """Nodes of records with the declared schema; ``current`` has doc_id, volume and elements. No shuffle, no Python.
+
+    Not ``wide``: only the link columns of the same classified nodes.
+    """
     record = F.concat_ws("|", F.coalesce("doc_id", F.lit("")), F.coalesce(F.col("volume").cast("string"), F.lit("")))
     df = current.select(record.alias("record"), F.col("elements"))
-    nodes = _nodes(F.col("elements"), "element", F.col("record"), F.col("record"), wide)
-    return df.select(F.explode(nodes).alias("n")).select("n.*")
+    nodes = _nodes(F.col("elements"), "element", F.col("record"), F.col("record"))
+    return df.select(F.explode(nodes).alias("n")).select(*(["n.*"] if wide else ["n.parent_id", "n.child_id"]))
 
 
 # -------------------------------------------------------------------------------------------------------- raw bodies
@@ -188,7 +193,7 @@ def _text(value: Any) -> str | None:
     return json.dumps(value, ensure_ascii=False)
 
 
-def _walk(value: Any, role: str, parent: str, out: list[tuple], wide: bool, record: str) -> list[str]:
+def _walk(value: Any, role: str, parent: str, out: list[tuple], record: str) -> list[str]:
     """Adds the nodes under ``parent`` to ``out`` and returns the states of the direct ones."""
     letter, _, below = ROLES[role]
     states = []
@@ -199,9 +204,7 @@ def _walk(value: Any, role: str, parent: str, out: list[tuple], wide: bool, reco
         at = len(out)
         out.append((parent, me))
         fields = node if isinstance(node, dict) else {"text": _text(node)}
-        children = {r: _walk(fields.get(ROLES[r][1]), r, me, out, wide, record) for r in below}
-        if not wide:
-            continue
+        children = {r: _walk(fields.get(ROLES[r][1]), r, me, out, record) for r in below}
         for name, tests in RULES[role]:
             if all(
                 (fields.get(t[1]) == t[2]) if t[0] == "is"
@@ -219,13 +222,13 @@ def _walk(value: Any, role: str, parent: str, out: list[tuple], wide: bool, reco
     return states
 
 
-def raw_nodes(raw: DataFrame, wide: bool = True) -> DataFrame:
+def raw_nodes(raw: DataFrame) -> DataFrame:
     """Nodes of raw JSON bodies; ``raw`` has doc_id, volume and body. Redelivered bodies repeat their nodes."""
     import pyarrow as pa
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
-    ddl = f"{NODE}, {NODE_WIDE}" if wide else NODE
+    ddl = f"{NODE}, {NODE_WIDE}"
     schema = to_arrow_schema(StructType.fromDDL(ddl))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,7 +240,7 @@ def raw_nodes(raw: DataFrame, wide: bool = True) -> DataFrame:
                 except ValueError:
                     continue
                 if isinstance(tree, dict):
-                    _walk(tree.get("elements"), "element", record, rows, wide, record)
+                    _walk(tree.get("elements"), "element", record, rows, record)
                 if len(rows) > 20_000:
                     yield from _batches(rows, schema)
                     rows = []
@@ -258,16 +261,6 @@ def _batches(rows: list[tuple], schema: Any) -> Iterator[Any]:
 # -------------------------------------------------------------------------------------------------------- the tables
 
 
-def links(current: DataFrame, raw: DataFrame) -> DataFrame:
-    """(parent_id, child_id) of every node of both sources, each link once.
-
-    Redelivered bodies and a record that stands in both sources repeat links; the narrow pairs are made distinct, which
-    Spark starts before its shuffle.
-    """
-    typed = typed_nodes(current, wide=False)
-    return typed.unionByName(raw_nodes(raw, wide=False)).distinct()
-
-
 def nodes(current: DataFrame, raw: DataFrame) -> DataFrame:
     """The supertype table: every node with its parent, role, place, variant and common fields, each child_id once."""
     extra = raw_nodes(raw).dropDuplicates(["child_id"])
@@ -292,10 +285,26 @@ def flat_table(all_nodes: DataFrame, name: str) -> DataFrame:
     return all_nodes.where(F.col("role") == role).select("record", "parent_id", "child_id", "place", "variant", *cols)
 
 
+def subtypes(all_nodes: DataFrame) -> dict[str, DataFrame]:
+    """The nodes of each structural variant, ``role_variant``, with the columns of ``all_nodes``."""
+    return {
+        f"{role}_{variant}": all_nodes.where((F.col("role") == role) & (F.col("variant") == variant))
+        for role, _ in TABLES.values() for variant in dict.fromkeys(v for v, _ in RULES[role])
+    }
+
+
 def variant_tables(all_nodes: DataFrame) -> dict[str, DataFrame]:
     """One table per structural variant, ``role_variant``; write ``all_nodes`` first if several are used."""
-    out = {}
-    for name, (role, _) in TABLES.items():
-        for variant in dict.fromkeys(v for v, _ in RULES[role]):
-            out[f"{role}_{variant}"] = flat_table(all_nodes, name).where(F.col("variant") == variant).drop("variant")
-    return out
+    by_role = dict(TABLES.values())
+    return {name: t.select("record", "parent_id", "child_id", "place", *by_role[name.split("_")[0]]) for name, t in subtypes(all_nodes).items()}
+
+
+def links(current: DataFrame, raw: DataFrame) -> DataFrame:
+    """(parent_id, child_id) of every node of both sources, each link once, read from the subtype tables.
+
+    Every node is classified by the automaton; the keys of the supertype table are written once, each variant to its own
+    folder, and the links are those of the variants' tables. A record that stands in both sources repeats links; the narrow
+    pairs are made distinct, which Spark starts before its shuffle.
+    """
+    keys = cut(nodes(current, raw).select("parent_id", "child_id", "role", "variant"), "role", "variant")
+    return reduce(DataFrame.unionByName, [t.select("parent_id", "child_id") for t in subtypes(keys).values()]).distinct()

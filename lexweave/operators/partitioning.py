@@ -36,8 +36,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return named
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` written once to the shared folder and read back, so that several consumers do not recompute it."""
+def cut(df: DataFrame, *by: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back, so that several consumers do not recompute it.
+
+    The values of the columns ``by`` become folders; a reader that asks for one value opens only its folder.
+    """
     path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/t-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)

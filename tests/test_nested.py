@@ -84,3 +84,14 @@ def test_current_records(spark, tmp_path):
     for source in (df, spark.read.parquet(str(tmp_path / "t"))):
         got = sorted((str(r.doc_id), r.volume, r.revision) for r in current_structure(source).collect())
         assert got == [("None", 1, 1), ("a", 1, 3), ("a", 2, None)]
+
+
+def test_links_are_read_from_the_subtype_tables(spark, monkeypatch):
+    bodies = [(f"raw-{d}", v, json.dumps({"elements": es})) for d, v, _, es in RECORDS]
+    both = typed(spark, RECORDS), spark.createDataFrame(bodies, "doc_id string, volume int, body string")
+    want = {link for d, v, _, es in RECORDS for x in ("", "raw-") for link in walk(es, "element", f"{x}{d}|{v}")}
+    assert sorted(tuple(r) for r in nested.links(*both).collect()) == sorted(want)
+    tables = {name: t.collect() for name, t in nested.subtypes(nested.nodes(*both)).items()}
+    assert {name: len(t) for name, t in tables.items() if t} == {"element_article": 2, "element_itemised": 2, "element_blocked": 2, "paragraph_deep": 2, "point_nested": 2, "subpoint_plain": 2, "subpoint_noted": 2, "item_nested": 2, "block_table": 2, "row_cells": 4}
+    monkeypatch.delitem(nested.TABLES, "rows")  # nodes that no table takes have no link
+    assert {tuple(r) for r in nested.links(*both).collect()} == {w for w in want if "/r" not in w[1]}
