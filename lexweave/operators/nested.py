@@ -12,18 +12,22 @@ its values, a string that holds an array is that array.
 
 Defined results: null and empty arrays give no nodes; null entries keep their place but are not nodes; a record without
 doc_id or volume is named with an empty part; a body that is null, blank or not valid JSON gives nothing; a text where an
-object is usual is a node with only that text; repeated deliveries give each node once; additional keys are ignored.
+object is usual is a node with only that text; repeated deliveries give each node once. Every declared field is carried in
+its declared type (:data:`FIELDS`); a raw value that this type cannot hold is kept as JSON in ``misfits``; keys that no role
+declares are ignored.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructType
 
 from .partitioning import cut
 
@@ -79,20 +83,27 @@ RULES: dict[str, list[tuple[str, tuple[tuple[str, ...], ...]]]] = {
     "row": [("key_value", (("has", "key"), ("has", "value"))), ("cells", ())],
 }
 
-#: Supertype fields taken along for the subtype tables, by role.
-FIELDS: dict[str, tuple[str, ...]] = {
-    "element": ("id", "type", "number", "title", "intro", "text"),
-    "paragraph": ("number", "intro", "text"),
-    "point": ("label", "text"),
-    "subpoint": ("label", "text", "note"),
-    "item": ("number", "label", "intro", "text"),
-    "block": ("id", "type", "text"),
-    "row": (),
-}
-PAYLOAD = ("id", "type", "number", "label", "title", "intro", "text", "note")
+CHAPTER = "struct<number:string,title:string>"
+ACT = "struct<kind:string,identifier:string,date:string,short_title:string,oj_reference:string>"
+
+#: Every declared field of a role that is not a role itself, with its type.
+FIELDS: dict[str, dict[str, str]] = {
+    "element": {
+        "id": "string", "type": "string", "number": "string", "level": "int", "title": "string", "path": "array<string>", "chapter": CHAPTER,
+        "intro": "string", "text": "string",
+    },
+    "paragraph": {"index": "int", "number": "string", "intro": "string", "text": "string"},
+    "point": {"label": "string", "text": "string"},
+    "subpoint": {"label": "string", "text": "string", "note": "string"},
+    "item": {"index": "int", "number": "string", "label": "string", "category": "string", "intro": "string", "text": "string", "cited_act": ACT},
+    "block": {"id": "string", "type": "string", "text": "string", "ordered": "boolean", "items": "array<string>", "kind": "string", "columns": "array<string>"},
+    "row": {"cells": "map<string,string>"},
+}
+#: All fields of the supertype table, and by role the raw values, as JSON, that their declared types cannot hold.
+PAYLOAD: dict[str, str] = {c: t for own in FIELDS.values() for c, t in own.items()} | {"misfits": "map<string,string>"}
 
-NODE = "parent_id string, child_id string"
-NODE_WIDE = f"record string, role string, place int, variant string, {', '.join(f'{c} string' for c in PAYLOAD)}, cells map<string,string>"
+NODE = "parent_id string, child_id string, record string, role string, place int, variant string"
+NODE_WIDE = f"{NODE}, {', '.join(f'`{c}` {t}' for c, t in PAYLOAD.items())}"
 
 
 # ---------------------------------------------------------------------------------------------------- typed records
@@ -126,19 +137,32 @@ def _variant(node: Column, role: str) -> Column:
     raise ValueError(f"the rules of {role} have no last one without tests")
 
 
-def _nodes(array: Column, role: str, parent: Column, record: Column) -> Column:
+def _field(node: Column, role: str, name: str, declared: DataType) -> Column:
+    """A field of a typed node in its type of :data:`FIELDS`; structs are taken by name, absent fields are null."""
+    ddl = FIELDS[role][name]
+    if role == "row":
+        return node.cast(ddl)
+    if name not in declared.names:
+        return F.lit(None).cast(ddl)
+    own = declared[name].dataType
+    if not isinstance(own, StructType) or own.simpleString() == ddl:
+        return node[name].cast(ddl)
+    parts = [(node[name][f.name] if f.name in own.names else F.lit(None)).cast(f.dataType).alias(f.name) for f in StructType.fromDDL(f"x {ddl}")["x"].dataType]
+    return F.when(node[name].isNotNull(), F.struct(*parts))
+
+
+def _nodes(array: Column, role: str, parent: Column, record: Column, declared: DataType) -> Column:
     """All nodes of ``array`` and below as one array of structs; null entries keep their place."""
     letter, _, below = ROLES[role]
 
     def one(pair: Column) -> Column:
         node, place = pair["n"], pair["i"]
         me = F.concat(parent, F.lit(f"/{letter}"), place.cast("string"))
-        own = {c: node[c].cast("string") for c in FIELDS[role]}
+        own = {c: _field(node, role, c, declared) for c in FIELDS[role]}
         cols = [parent.alias("parent_id"), me.alias("child_id"), record.alias("record"), F.lit(role).alias("role")]
         cols += [place.cast("int").alias("place"), _variant(node, role).alias("variant")]
-        cols += [own.get(c, F.lit(None).cast("string")).alias(c) for c in PAYLOAD]
-        cols += [(node if role == "row" else F.lit(None).cast("map<string,string>")).alias("cells")]
-        arrays = [F.array(F.struct(*cols))] + [_nodes(_children(node, r), r, me, record) for r in below]
+        cols += [own.get(c, F.lit(None).cast(t)).alias(c) for c, t in PAYLOAD.items()]
+        arrays = [F.array(F.struct(*cols))] + [_nodes(_children(node, r), r, me, record, declared[ROLES[r][1]].dataType.elementType) for r in below]
         return F.concat(*arrays) if len(arrays) > 1 else arrays[0]
 
     placed = F.transform(F.coalesce(array, F.array()), lambda n, i: F.struct(n.alias("n"), (i + 1).alias("i")))
@@ -152,7 +176,7 @@ def typed_nodes(current: DataFrame, wide: bool = True) -> DataFrame:
     """
     record = F.concat_ws("|", F.coalesce("doc_id", F.lit("")), F.coalesce(F.col("volume").cast("string"), F.lit("")))
     df = current.select(record.alias("record"), F.col("elements"))
-    nodes = _nodes(F.col("elements"), "element", F.col("record"), F.col("record"))
+    nodes = _nodes(F.col("elements"), "element", F.col("record"), F.col("record"), current.schema["elements"].dataType.elementType)
     return df.select(F.explode(nodes).alias("n")).select(*(["n.*"] if wide else ["n.parent_id", "n.child_id"]))
 
 
@@ -193,6 +217,67 @@ def _text(value: Any) -> str | None:
     return json.dumps(value, ensure_ascii=False)
 
 
+#: What a raw value gives that its declared type cannot hold.
+_MISFIT = object()
+
+
+def _strings(value: Any) -> Any:
+    """A raw value as an array of texts: a string that holds an array is that array, anything else alone is an array of one."""
+    if isinstance(value, str):
+        try:
+            held = _loads(value)
+        except ValueError:
+            held = None
+        value = held if isinstance(held, list) else value
+    return [_text(v) for v in (value if isinstance(value, list) else [value])]
+
+
+def _struct(value: Any, names: tuple[str, ...]) -> Any:
+    """A raw value as a struct: an object, alone in an array, or in a string."""
+    while isinstance(value, str):
+        try:
+            value = _loads(value)
+        except ValueError:
+            return _MISFIT
+    if isinstance(value, list) and len(value) == 1:
+        value = value[0]
+    return {n: _text(value.get(n)) for n in names} if isinstance(value, dict) else _MISFIT
+
+
+def _int(value: Any) -> Any:
+    if isinstance(value, str) and re.fullmatch(r"\s*[+-]?[0-9]{1,10}\s*", value):
+        value = int(value)
+    if isinstance(value, float) and value.is_integer():
+        value = int(value)
+    return value if type(value) is int and -(1 << 31) <= value < 1 << 31 else _MISFIT
+
+
+def _boolean(value: Any) -> Any:
+    if isinstance(value, str):
+        value = {"true": True, "false": False, "1": 1, "0": 0}.get(value.strip().lower(), value)
+    return bool(value) if isinstance(value, (bool, int)) and value in (0, 1) else _MISFIT
+
+
+def _reader(ddl: str) -> Callable[[Any], Any]:
+    if ddl.startswith("struct"):
+        names = tuple(part.partition(":")[0] for part in ddl[len("struct<") : -1].split(","))
+        return lambda value: _struct(value, names)
+    return {"string": _text, "int": _int, "boolean": _boolean, "array<string>": _strings}[ddl]
+
+
+_READERS = {role: {c: _reader(t) for c, t in own.items()} for role, own in FIELDS.items() if role != "row"}
+
+
+def _payload(fields: dict[str, Any], role: str) -> tuple:
+    """The values of PAYLOAD of a raw node."""
+    if role == "row":
+        return tuple([(str(k), _text(v)) for k, v in fields.items()] if c == "cells" else None for c in PAYLOAD)
+    own = {c: read(fields[c]) for c, read in _READERS[role].items() if fields.get(c) is not None}
+    misfits = [(c, json.dumps(fields[c], ensure_ascii=False)) for c, v in own.items() if v is _MISFIT]
+    own = {c: None if v is _MISFIT else v for c, v in own.items()} | {"misfits": misfits or None}
+    return tuple(own.get(c) for c in PAYLOAD)
+
+
 def _walk(value: Any, role: str, parent: str, out: list[tuple], record: str) -> list[str]:
     """Adds the nodes under ``parent`` to ``out`` and returns the states of the direct ones."""
     letter, _, below = ROLES[role]
@@ -214,11 +299,7 @@ def _walk(value: Any, role: str, parent: str, out: list[tuple], record: str) ->
             ):
                 states.append(name)
                 break
-        own = tuple(_text(fields.get(c)) if c in FIELDS[role] else None for c in PAYLOAD)
-        if role != "row" and not isinstance(node, dict):
-            own = tuple(fields["text"] if c == "text" else None for c in PAYLOAD)
-        cells = [(str(k), _text(v)) for k, v in fields.items()] if role == "row" else None
-        out[at] = (parent, me, record, role, place, states[-1], *own, cells)
+        out[at] = (parent, me, record, role, place, states[-1], *_payload(fields, role))
     return states
 
 
@@ -226,9 +307,8 @@ def raw_nodes(raw: DataFrame) -> DataFrame:
     """Nodes of raw JSON bodies; ``raw`` has doc_id, volume and body. Redelivered bodies repeat their nodes."""
     import pyarrow as pa
     from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
 
-    ddl = f"{NODE}, {NODE_WIDE}"
+    ddl = NODE_WIDE
     schema = to_arrow_schema(StructType.fromDDL(ddl))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,14 +349,8 @@ def nodes(current: DataFrame, raw: DataFrame) -> DataFrame:
 
 #: Subtype tables: name -> (role, columns). The variant column tells the subtype within the table.
 TABLES: dict[str, tuple[str, tuple[str, ...]]] = {
-    "elements": ("element", ("id", "type", "number", "title", "intro", "text")),
-    "paragraphs": ("paragraph", ("number", "intro", "text")),
-    "points": ("point", ("label", "text")),
-    "subpoints": ("subpoint", ("label", "text", "note")),
-    "items": ("item", ("number", "label", "intro", "text")),
-    "blocks": ("block", ("id", "type", "text")),
-    "rows": ("row", ("cells",)),
-}
+    f"{role}s": (role, (*own, *(() if role == "row" else ("misfits",)))) for role, own in FIELDS.items()
+}
 
 
 def flat_table(all_nodes: DataFrame, name: str) -> DataFrame:

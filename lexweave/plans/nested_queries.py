@@ -21,7 +21,7 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 def _table(name: str):
     def run(spark: SparkSession, d: str) -> DataFrame:
         out = nested.flat_table(nested.nodes(*_inputs(spark, d)), name)
-        return out.withColumn("cells", F.to_json("cells")) if "cells" in out.columns else out
+        return out.withColumns({c: F.to_json(c) for c in ("cells", "misfits") if c in out.columns})
 
     run.__doc__ = f"The flat table of {name}, each row with its parent."
     return run

@@ -95,3 +95,69 @@ def test_links_are_read_from_the_subtype_tables(spark, monkeypatch):
     assert {name: len(t) for name, t in tables.items() if t} == {"element_article": 2, "element_itemised": 2, "element_blocked": 2, "paragraph_deep": 2, "point_nested": 2, "subpoint_plain": 2, "subpoint_noted": 2, "item_nested": 2, "block_table": 2, "row_cells": 4}
     monkeypatch.delitem(nested.TABLES, "rows")  # nodes that no table takes have no link
     assert {tuple(r) for r in nested.links(*both).collect()} == {w for w in want if "/r" not in w[1]}
+
+
+FULL = (
+    "doc_id string, volume int, elements array<struct<id:string,type:string,number:string,level:int,title:string,path:array<string>,chapter:struct<number:string,title:string>,"
+    f"intro:string,text:string,paragraphs:array<struct<index:int,number:string,intro:string,text:string,points:array<struct<label:string,text:string,subpoints:{SUB}>>>>,"
+    "items:array<struct<index:int,number:string,label:string,category:string,intro:string,text:string,"
+    f"subpoints:{SUB},cited_act:struct<kind:string,identifier:string,date:string,short_title:string,oj_reference:string>>>,"
+    "blocks:array<struct<id:string,type:string,text:string,ordered:boolean,items:array<string>,kind:string,columns:array<string>,rows:array<map<string,string>>>>>>"
+)
+ACT = {"kind": "directive", "identifier": "2006/42/EC", "date": None, "short_title": "machinery", "oj_reference": "OJ L 157"}
+TREE = [
+    {"id": "s", "type": "section", "number": "1", "level": 0, "title": "T", "path": ["A", None, "B"], "chapter": None, "intro": "i", "text": "x", "blocks": [
+        {"id": "b1", "type": "list", "text": None, "ordered": False, "items": ["one", None, "two"], "kind": None, "columns": None}, None,
+        {"id": "b2", "type": "table", "text": None, "ordered": None, "items": None, "kind": "table", "columns": ["k", "l"], "rows": [{"k": "v"}, {}]}]},
+    None,
+    {"id": "a", "type": "article", "number": None, "level": 2, "title": None, "path": [], "chapter": {"number": "II", "title": None}, "intro": None, "text": None,
+     "paragraphs": [{"index": 7, "number": "1", "intro": "i", "text": "t", "points": [{"label": "a", "text": "x", "subpoints": [{"label": "i", "text": "y", "note": "n"}]}]}],
+     "items": [{"index": 3, "number": "3", "label": "l", "category": "c", "intro": "i", "text": "t", "cited_act": ACT, "subpoints": [{"label": "a", "text": None, "note": None}]}]},
+]
+
+
+def trees(value, role):
+    """The non-null nodes of a nested array by place, null and empty arrays alike, each with all its fields."""
+    out = {}
+    for i, node in enumerate(value or [], 1):
+        if node is not None:
+            kids = {nested.ROLES[r][1]: trees(node.get(nested.ROLES[r][1]), r) for r in nested.ROLES[role][2]}
+            out[i] = {"cells": node} if role == "row" else {c: node.get(c) for c in nested.FIELDS[role]} | kids
+    return out
+
+
+def rebuilt(all_nodes):
+    """The nested records, made from the flat tables only."""
+    below = {}
+    for name, (role, cols) in nested.TABLES.items():
+        for r in nested.flat_table(all_nodes, name).collect():
+            d = r.asDict(recursive=True)
+            assert not d.get("misfits")
+            below.setdefault((d["parent_id"], role), {})[d["place"]] = d["child_id"], {c: d[c] for c in cols if c != "misfits"}
+
+    def made(parent, role):
+        return {place: own | {nested.ROLES[r][1]: made(me, r) for r in nested.ROLES[role][2]} for place, (me, own) in below.get((parent, role), {}).items()}
+
+    return {r: made(r, "element") for r in {p for p, role in below if role == "element"}}
+
+
+def test_records_are_rebuilt_from_the_tables(spark):
+    current = spark.createDataFrame([("t", 1, TREE)], FULL)
+    raw = spark.createDataFrame([("r", 1, json.dumps({"elements": TREE}))], "doc_id string, volume int, body string")
+    assert rebuilt(nested.nodes(current, raw)) == {"t|1": trees(TREE, "element"), "r|1": trees(TREE, "element")}
+
+
+def test_raw_fields_take_their_declared_types(spark):
+    odd = {
+        "number": 4, "level": "2", "path": '["A", "B"]', "chapter": json.dumps({"number": 2, "title": "T"}),
+        "items": [{"index": "3", "cited_act": [ACT]}, {"index": "3a", "cited_act": "Directive"}],
+        "blocks": [{"items": "alone", "ordered": "true", "columns": [1, None]}, {"ordered": "perhaps", "x_more": 1}],
+    }
+    raw = spark.createDataFrame([("r", 1, json.dumps({"elements": odd}))], "doc_id string, volume int, body string")
+    n = {r.child_id: r.asDict(recursive=True) for r in nested.raw_nodes(raw).collect()}
+    e, i1, i2, b1, b2 = (n[f"r|1/e1{x}"] for x in ("", "/i1", "/i2", "/b1", "/b2"))
+    assert (e["number"], e["level"], e["path"], e["chapter"]) == ("4", 2, ["A", "B"], {"number": "2", "title": "T"})
+    assert (i1["index"], i1["cited_act"], i1["misfits"]) == (3, ACT, None)
+    assert (i2["index"], i2["cited_act"], i2["misfits"]) == (None, None, {"index": '"3a"', "cited_act": '"Directive"'})
+    assert (b1["items"], b1["ordered"], b1["columns"]) == (["alone"], True, ["1", None])
+    assert (b2["ordered"], b2["misfits"]) == (None, {"ordered": '"perhaps"'})
