@@ -359,18 +359,53 @@ def flat_table(all_nodes: DataFrame, name: str) -> DataFrame:
     return all_nodes.where(F.col("role") == role).select("record", "parent_id", "child_id", "place", "variant", *cols)
 
 
+def variants() -> list[tuple[str, str]]:
+    """(role, variant) of every subtype table."""
+    return [(role, v) for role, _ in TABLES.values() for v in dict.fromkeys(v for v, _ in RULES[role])]
+
+
 def subtypes(all_nodes: DataFrame) -> dict[str, DataFrame]:
     """The nodes of each structural variant, ``role_variant``, with the columns of ``all_nodes``."""
-    return {
-        f"{role}_{variant}": all_nodes.where((F.col("role") == role) & (F.col("variant") == variant))
-        for role, _ in TABLES.values() for variant in dict.fromkeys(v for v, _ in RULES[role])
-    }
+    return {f"{role}_{variant}": all_nodes.where((F.col("role") == role) & (F.col("variant") == variant)) for role, variant in variants()}
+
+
+#: Columns that belong to a variant; variants without an entry may hold any field of their role.
+VARIANT_COLUMNS: dict[str, tuple[str, ...]] = {
+    "element_article": ("id", "number", "title", "chapter", "intro", "text"),
+    "element_annex": ("id", "number", "title", "intro", "text"),
+    "element_section": ("id", "level", "title", "path", "text"),
+    "paragraph_plain": ("index", "number", "text"),
+    "paragraph_bare": ("index", "number", "intro"),
+    "point_bare": ("label",),
+    "subpoint_plain": ("label", "text"),
+    "subpoint_bare": ("label",),
+    "item_bare": ("index", "number", "label", "category", "intro", "cited_act"),
+    "block_table": ("id", "kind", "columns"),
+    "block_list": ("id", "ordered", "items"),
+    "block_paragraph": ("id", "text"),
+    "row_key_value": ("key", "value"),
+}
+
+
+def variant_table(all_nodes: DataFrame, name: str) -> DataFrame:
+    """The table of one structural variant: its own columns, and in ``others``, as text, any other values of its nodes."""
+    role = name.split("_")[0]
+    cols = VARIANT_COLUMNS.get(name, tuple(FIELDS[role]))
+    table = subtypes(all_nodes)[name]
+    if name == "row_key_value":
+        table = table.withColumns({c: F.col("cells")[c] for c in VARIANT_COLUMNS[name]})
+        others = F.map_filter("cells", lambda k, _: ~k.isin("key", "value"))
+    else:
+        rest = {c: t for c, t in FIELDS[role].items() if c not in cols}
+        pairs = [F.struct(F.lit(c).alias("k"), (F.to_json(c) if "<" in t else F.col(c).cast("string")).alias("v")) for c, t in rest.items()]
+        others = F.map_from_entries(F.filter(F.array(*pairs), lambda p: p["v"].isNotNull())) if pairs else F.create_map().cast("map<string,string>")
+    table = table.withColumn("others", F.when(F.size(others) > 0, others))
+    return table.select("record", "parent_id", "child_id", "place", *cols, "others", "misfits")
 
 
 def variant_tables(all_nodes: DataFrame) -> dict[str, DataFrame]:
     """One table per structural variant, ``role_variant``; write ``all_nodes`` first if several are used."""
-    by_role = dict(TABLES.values())
-    return {name: t.select("record", "parent_id", "child_id", "place", *by_role[name.split("_")[0]]) for name, t in subtypes(all_nodes).items()}
+    return {name: variant_table(all_nodes, name) for name in subtypes(all_nodes)}
 
 
 def links(current: DataFrame, raw: DataFrame) -> DataFrame:

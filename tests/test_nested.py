@@ -161,3 +161,16 @@ def test_raw_fields_take_their_declared_types(spark):
     assert (i2["index"], i2["cited_act"], i2["misfits"]) == (None, None, {"index": '"3a"', "cited_act": '"Directive"'})
     assert (b1["items"], b1["ordered"], b1["columns"]) == (["alone"], True, ["1", None])
     assert (b2["ordered"], b2["misfits"]) == (None, {"ordered": '"perhaps"'})
+
+
+def test_variant_tables_are_typed_and_registered(spark):
+    from lexweave.plans.nested_queries import QUERIES
+
+    raw = spark.createDataFrame([("r", 1, json.dumps({"elements": TREE + [{"blocks": [{"id": "t", "text": "x", "rows": [{"key": "a", "value": "b", "c": "d"}]}]}]}))], "doc_id string, volume int, body string")
+    tables = nested.variant_tables(nested.nodes(spark.createDataFrame([], FULL), raw))
+    assert {f"p1_{name}" for name in tables} <= set(QUERIES) and tables["block_list"].columns[4:] != tables["block_table"].columns[4:]
+    got = {name: [r.asDict(recursive=True) for r in t.orderBy("child_id").collect()] for name, t in tables.items()}
+    assert [(r["ordered"], r["items"], r["others"]) for r in got["block_list"]] == [(False, ["one", None, "two"], {"type": "list"})]
+    assert [(r["columns"], r["others"]) for r in got["block_table"]] == [(["k", "l"], {"type": "table"}), (None, {"text": "x"})]
+    assert [(r["key"], r["value"], r["others"]) for r in got["row_key_value"]] == [("a", "b", {"c": "d"})]
+    assert got["element_section"][0]["others"] == {"type": "section", "number": "1", "intro": "i"} and got["element_article"][0]["chapter"] == {"number": "II", "title": None}
