@@ -20,7 +20,8 @@ The items are the stated query set. They are read in blocks of at most ``BLOCK_C
 workers is bounded; every block is held against all documents.
 
 Defined results: null, empty and blank texts and items leak nothing; an item whose words are all formula leaks nowhere;
-items of fewer words than a window are one window; identical items are each reported; repeated rows repeat results.
+an item of fewer own words than a window has no windows: every document that holds one of its distinctive words is a
+candidate at each place of its words; identical items are each reported; repeated rows repeat results.
 """
 
 from __future__ import annotations
@@ -134,25 +135,30 @@ class Items:
         self.least = [UNCHANGED * len(set(o[r].tolist())) for o, r in zip(self.own, self.rare, strict=True)]
         rows, owner, start = [], [], []
         for k, own in enumerate(self.own):
-            if not len(own):
+            if len(own) < WINDOW:
                 continue
-            padded = np.append(own, np.full(max(0, WINDOW - len(own)), _PAD, np.uint64))
-            at = np.arange(len(padded) - WINDOW + 1)
-            rows.append(_windows(padded, at))
+            at = np.arange(len(own) - WINDOW + 1)
+            rows.append(_windows(own, at))
             owner.append(np.full(len(at), k))
             start.append(at)
-        self.empty = not rows
+        self.empty = not any(len(own) for own in self.own)
         if self.empty:
             return
         self.known = Filter(np.concatenate(self.own))
         self.telling = Filter(np.concatenate([o[r] for o, r in zip(self.own, self.rare, strict=True)]))
+        self.short = {k for k, own in enumerate(self.own) if 0 < len(own) < WINDOW}
+        self.short_words: dict[int, list[int]] = defaultdict(list)
+        for k in self.short:
+            for h in dict.fromkeys(self.own[k].tolist()):
+                self.short_words[h].append(k)
+        self.index = []
+        if not rows:
+            return
         keys = keys_of(np.concatenate(rows))
         owner_all, start_all = np.concatenate(owner), np.concatenate(start)
-        self.index = []
         for c in range(keys.shape[1]):
             order = np.argsort(keys[:, c], kind="stable")
             self.index.append((Filter(keys[:, c]), keys[order, c], owner_all[order], start_all[order]))
-        self.short = any(len(own) < WINDOW for own in self.own)
 
     def candidates(self, words: Words) -> dict[tuple[int, int], list[int]]:
         """(document, item) -> places of document words at which candidate windows begin."""
@@ -164,9 +170,8 @@ class Items:
         hits = np.append(0, np.cumsum(self.known(h)))
         count = hits[WINDOW:] - hits[:-WINDOW]
         whole = doc[: len(count)] == doc[WINDOW - 1 : WINDOW - 1 + len(count)]
-        least = 1 if self.short else WINDOW - EDITS
         tells = np.append(0, np.cumsum(self.telling(h)))
-        starts = np.flatnonzero(whole & (count >= least) & (tells[WINDOW:] > tells[:-WINDOW]))
+        starts = np.flatnonzero(whole & (count >= WINDOW - EDITS) & (tells[WINDOW:] > tells[:-WINDOW]))
         for k in range(0, len(starts), 200_000):
             part = starts[k : k + 200_000]
             keys = keys_of(_windows(h, part))
@@ -177,6 +182,12 @@ class Items:
                 for at, a, b in zip(part[hit].tolist(), low.tolist(), high.tolist(), strict=True):
                     for k2 in owner[a:b].tolist():
                         found[doc[at], k2].append(at)
+        if self.short:
+            telling_docs = {(d, k) for d, w in zip(doc.tolist(), h.tolist(), strict=True) for k in self.holders.get(w, ()) if k in self.short}
+            for at in np.flatnonzero(np.isin(h, np.array(list(self.short_words), np.uint64))).tolist():
+                for k in self.short_words[int(h[at])]:
+                    if (doc[at], k) in telling_docs:
+                        found[doc[at], k].append(at)
         if not found:
             return found
         # pairs whose document lacks most of the item's distinctive words cannot reach the share

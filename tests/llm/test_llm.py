@@ -215,6 +215,15 @@ def test_leaks(spark):
     assert leakage.leaks(d, e.where("false")).count() == 0 and leakage.leaks(d.where("false"), e).count() == 0
 
 
+def test_leaks_of_items_shorter_than_a_window():
+    texts = ["kelvar tromino", "dastrel vokun mirabel", "quintar zophel brimald yestern", "ulmarit pesgol wendra hactil oskeran jubilor", "zorbane"]
+    items = leakage.Items(list(range(len(texts))), texts)
+    docs = [f"the report of the year says {t} and then goes on about other things" for t in texts] + ["quintar zophel brimold yestern", "zorbane"]
+    assert {x[:2] for x in leakage.find(items, docs)} == {(k, k) for k in range(len(texts))} | {(5, 2), (6, 4)}
+    long = leakage.Items([1, 2], ["kelvar tromino", " ".join(f"word{chr(97 + i)}{chr(98 + i)}" for i in range(20))])
+    assert {x[:2] for x in leakage.find(long, docs)} == {(0, 0)}
+
+
 def test_equal_windows_have_equal_keys_and_near_ones_often_share_one():
     rng = np.random.default_rng(2)
     a = rng.integers(1, 1 << 62, (500, leakage.WINDOW)).astype(np.uint64)
