@@ -65,7 +65,7 @@ def _own_line(kind: str, text: str) -> str:
 def formula(tex: str) -> str:
     """Linear text of a LaTeX formula."""
     out = tex.strip()
-    for _ in range(8):
+    for _ in range(len(out)):  # every round that changes something removes signs
         new = regex.sub(r"\\[dt]?frac\s*\{([^{}]*)\}\s*\{([^{}]*)\}", r"(\1)/(\2)", out)
         new = regex.sub(r"\\sqrt\s*\{([^{}]*)\}", r"√(\1)", new)
         new = regex.sub(r"\\(?:text|mathrm|mathbf|mathit|operatorname)\s*\{([^{}]*)\}", r"\1", new)
@@ -177,7 +177,7 @@ def convert(text: str) -> tuple[str, list[tuple[str, int, int]], list[str]]:
     """(clean text, marks (kind, begin, end), names of the rules that applied, each once)."""
     applied: dict[str, None] = {}
     work = _MARKS.sub("", text)
-    for _ in range(6):
+    for _ in range(len(work)):  # until nothing changes; a conversion removes signs, so the length is never reached
         before = work
         for name, pattern, to in _COMPILED:
             new = pattern.sub(to, work)

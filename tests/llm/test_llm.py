@@ -177,6 +177,14 @@ def test_marks_and_rows(spark):
     assert got == {str(i) for i in range(len(CLEAN), len(CLEAN) + len(MARKED))} and markup.converted(df.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("depth", [7, 12, 40])
+def test_deeply_nested_markup_leaves_no_residue(depth):
+    nested = {r"\textbf{": "}", "{{x|": "}}", r"\emph{\textit{": "}}"}
+    for begin, end in nested.items():
+        assert markup.convert(f"{begin * depth}word{end * depth}")[0].strip() == "word"
+    assert markup.formula(r"\sqrt{" * depth + "x" + "}" * depth) == "√(" * depth + "x" + ")" * depth
+
+
 # --------------------------------------------------------------------------------------------------------- leakage
 
 WORDS = [f"w{i}{c}" for i in range(400) for c in "abc"]
