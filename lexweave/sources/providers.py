@@ -72,22 +72,24 @@ class NativePdf:
     def __init__(self) -> None:
         try:
             import pymupdf
+            import pymupdf4llm
         except ImportError as e:
             raise RuntimeError("no PDF library is installed") from e
-        self.library = pymupdf
+        self.library, self.markdown = pymupdf, pymupdf4llm
 
     def convert(self, path: str, content: bytes) -> Converted:
-        pages, links = [], []
+        links = []
         with self.library.open(stream=content, filetype="pdf") as doc:
             for number, page in enumerate(doc):
-                pages.append(page.get_text("text"))
                 for place, link in enumerate(page.get_links()):
                     box, to = link.get("from"), link.get("to")
                     links.append({
                         "page": number, "number": place, "kind": link.get("kind"), "rect": box and [box.x0, box.y0, box.x1, box.y1],
                         "target": link.get("page"), "position": to and [to.x, to.y], "uri": link.get("uri"), "file": link.get("file"),
                     })
-        return Converted(pages, None, links)
+            pages = [p["text"] for p in self.markdown.to_markdown(doc, header=False, footer=False, page_chunks=True)]
+            layout = self.markdown.to_json(doc)
+        return Converted(pages, layout, links)
 
 
 PROVIDERS: list[ProviderSpec] = [

@@ -96,3 +96,27 @@ def test_vectors(spark):
 def test_jobs_and_catalogue(capsys):
     assert jobs.main(["providers"]) == 0 and "option3" in capsys.readouterr().out
     assert set(catalogue.oracle_sql()) <= set(catalogue.queries())
+
+
+def test_native_pdf_gives_markdown_and_layout(monkeypatch):
+    import contextlib
+    import sys
+    import types
+
+    class Page:
+        def get_links(self):
+            return [{"kind": 2, "uri": "u"}]
+
+    doc, asked = [Page(), Page()], {}
+    pymupdf = types.SimpleNamespace(open=lambda stream, filetype: contextlib.nullcontext(doc))
+
+    def to_markdown(d, **options):
+        assert d is doc
+        asked.update(options)
+        return [{"text": "# H"}, {"text": "|a|b|"}]
+
+    monkeypatch.setitem(sys.modules, "pymupdf", pymupdf)
+    monkeypatch.setitem(sys.modules, "pymupdf4llm", types.SimpleNamespace(to_markdown=to_markdown, to_json=lambda d: '{"pages": 2}'))
+    out = providers.NativePdf().convert("a.pdf", b"x")
+    assert (out.pages, out.layout, [x["page"] for x in out.links]) == (["# H", "|a|b|"], '{"pages": 2}', [0, 1])
+    assert asked == {"header": False, "footer": False, "page_chunks": True}
