@@ -1,14 +1,20 @@
-"""Current records: one row per key, the greatest revision, whatever was redelivered or arrived late."""
+"""One row per key: the current record, the last delivery, or one copy of a text, whatever arrived late or again."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .partitioning import BROADCAST_LIMIT
+from .partitioning import written
+
+#: Folders at most, by hash of the file, in which the places of rows that lost are written.
+MAX_BUCKETS = 4096
 
 
 def _has_row_ids(df: DataFrame) -> bool:
@@ -19,27 +25,59 @@ def _has_row_ids(df: DataFrame) -> bool:
     return True
 
 
-def current_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def current_rows(df: DataFrame, keys: Sequence[str | Column], order: Sequence[str]) -> DataFrame:
     """One row of ``df`` per ``keys``: the one with the greatest ``order`` columns (nulls are least), all columns kept.
 
-    A table read from files is never shuffled as a whole: the winners are found on the key and order columns alone by a
-    partially aggregated maximum, and the rows that lost are removed by an anti-join on the physical row id. The losers
-    are broadcast if their counted size is under the limit; otherwise the join is on a unique id and cannot be skewed.
+    A table read from files is never moved: the winners are found on the key and order columns alone by a partially
+    aggregated maximum, and the places (file, row) of the rows that lost are written to the shared folder by file. A task
+    then reads the places of its own files and leaves those rows out (:func:`_kept`). Nothing is broadcast and no exchange
+    carries the other columns, however many rows lost; a hot key is one row after the partial maximum, and the places are
+    unique, so no join is skewed.
+
     Rows that tie in every order column are the same delivery repeated; one of them, by position in the files, is kept.
     A null key is a key like any other. Other frames use a ranked window, which Spark limits before its shuffle.
     """
     names = [c for c in order if c in df.columns]
+    named = [(F.col(k) if isinstance(k, str) else k).alias(f"__k{i}") for i, k in enumerate(keys)]
     if not _has_row_ids(df):
         w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in names])
         return df.withColumn("__rank", F.row_number().over(w)).where("__rank = 1").drop("__rank")
-    tagged = df.withColumn("__rid", F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("r")))
-    narrow = tagged.select(*keys, F.struct(*names, "__rid").alias("__o"))
-    best = narrow.groupBy(*keys).agg(F.max("__o.__rid" if not names else "__o").alias("__o"))
-    best = best.select(F.col("__o.__rid" if names else "__o").alias("__rid"))
-    lost = tagged.select("__rid").join(best, "__rid", "left_anti")
-    if lost.count() * 200 <= BROADCAST_LIMIT:
-        lost = F.broadcast(lost)
-    return tagged.join(lost, "__rid", "left_anti").drop("__rid")
+    file, row = F.xxhash64("_metadata.file_path"), F.col("_metadata.row_index")
+    narrow = df.select(*named, F.struct(*(F.col(c).alias(f"o{i}") for i, c in enumerate(names)), file.alias("f"), row.alias("r")).alias("o"))
+    best = narrow.groupBy(*(f"__k{i}" for i in range(len(named)))).agg(F.max("o").alias("o")).select("o.f", "o.r")
+    buckets = max(1, min(MAX_BUCKETS, len(df.inputFiles())))
+    lost = df.select(file.alias("f"), row.alias("r")).join(best, ["f", "r"], "left_anti").withColumn("bucket", F.pmod("f", F.lit(buckets)).cast("int"))
+    path = written(lost.repartition("bucket") if buckets > 1 else lost, "bucket")
+    return df.where(_kept(path, buckets)(file, row))
+
+
+def _kept(path: str, buckets: int):
+    """Whether a row, by file and place, is not among the places written under ``path``."""
+
+    @F.arrow_udf("boolean")
+    def kept(files: pa.Array, rows: pa.Array) -> pa.Array:
+        f, r = files.to_numpy(zero_copy_only=False), rows.to_numpy(zero_copy_only=False)
+        out = np.ones(len(f), bool)
+        for own in np.unique(f).tolist():
+            mine = f == own
+            out[mine] = ~np.isin(r[mine], lost_rows(path, own, own % buckets))
+        return pa.array(out)
+
+    return kept
+
+
+@lru_cache(maxsize=4)
+def lost_rows(path: str, file: int, bucket: int) -> np.ndarray:
+    """Places, in one file, of the rows that lost; read by the task that reads the file."""
+    import pyarrow.dataset as ds
+    from pyarrow import fs
+
+    system, root = fs.FileSystem.from_uri(path)
+    folder = f"{root}/bucket={bucket}"
+    if system.get_file_info(folder).type != fs.FileType.Directory:
+        return np.zeros(0, np.int64)
+    table = ds.dataset(folder, filesystem=system, format="parquet").to_table(columns=["r"], filter=ds.field("f") == file)
+    return table.column("r").to_numpy()
 
 
 def current_structure(structure: DataFrame) -> DataFrame:
@@ -50,3 +88,9 @@ def current_structure(structure: DataFrame) -> DataFrame:
 def current_metadata(metadata: DataFrame) -> DataFrame:
     """Current sidecar records: the greatest revision of each doc_id."""
     return current_rows(metadata, ["doc_id"], ["revision", "loaded_at"])
+
+
+def current_chunks(chunks: DataFrame) -> DataFrame:
+    """Each chunk once, as last delivered; chunks without an id stand for themselves, once a text."""
+    own = [F.when(F.col("chunk_id").isNull(), h) for h in (F.xxhash64("text"), F.xxhash64(F.lit(29), F.col("text")))]
+    return current_rows(chunks, ["chunk_id", *own], ["loaded_at"])

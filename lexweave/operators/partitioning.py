@@ -27,20 +27,34 @@ def bounded_broadcast(df: DataFrame, row_bytes: int, limit: int = BROADCAST_LIMI
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints: the cluster's ``spark.checkpoint.dir``, or a local one where it is unset."""
+    """The shared folder for checkpoints: the cluster's ``spark.checkpoint.dir``.
+
+    Where that is unset, a folder in the warehouse serves on one machine; on a cluster it is asked for.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named is None:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(named)
     return named
 
 
-def cut(df: DataFrame, *by: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back, so that several consumers do not recompute it.
+def written(df: DataFrame, *by: str) -> str:
+    """The path, as an address, under which ``df`` was written once in the shared folder; it goes when the driver ends.
 
     The values of the columns ``by`` become folders; a reader that asks for one value opens only its folder.
     """
-    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/t-{uuid.uuid4().hex}"
-    df.write.partitionBy(*by).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+    jvm = df.sparkSession.sparkContext._jvm
+    named = jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir(df.sparkSession).rstrip('/')}/t-{uuid.uuid4().hex}")
+    system = named.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration())
+    system.deleteOnExit(named)
+    path = system.makeQualified(named).toUri().toString()
+    df.write.mode("overwrite").partitionBy(*by).parquet(path)
+    return path
+
+
+def cut(df: DataFrame, *by: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back, so that several consumers do not recompute it."""
+    return df.sparkSession.read.schema(df.schema).parquet(written(df, *by)).select(*df.columns)

@@ -2,8 +2,10 @@
 
 import json
 
+from pyspark.sql import functions as F
+
 from lexweave.operators import nested
-from lexweave.operators.current import current_structure
+from lexweave.operators.current import current_rows, current_structure
 
 SUB = "array<struct<label:string,text:string,note:string>>"
 SCHEMA = (
@@ -86,6 +88,21 @@ def test_current_records(spark, tmp_path):
         assert got == [("None", 1, 1), ("a", 1, 3), ("a", 2, None)]
 
 
+def test_current_rows_move_no_payload(spark, tmp_path):
+    rows = [(n // 3, n, f"payload {n}") for n in range(90)] + [(None, 1, "null"), (None, 2, "key"), (7, None, "least")]
+    for part in range(3):
+        spark.createDataFrame(rows[part::3], "k int, o int, payload string").write.mode("append").parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    out = current_rows(df, ["k"], ["o"])
+    want = {k: max(x for x in rows if x[0] == k and x[1] is not None) for k in {r[0] for r in rows}}
+    assert sorted(tuple(r) for r in out.collect() if r.k is not None) == sorted(v for k, v in want.items() if k is not None)
+    assert [r.payload for r in out.where("k is null").collect()] == ["key"] and out.count() == 31
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    by_text = current_rows(df.select("payload"), [F.substring("payload", 1, 3)], [])
+    assert sorted(r.payload[:3] for r in by_text.collect()) == ["key", "lea", "nul", "pay"]
+    assert current_rows(df.where("k > 1000"), ["k"], ["o"]).count() == 0
+
+
 def test_links_are_read_from_the_subtype_tables(spark, monkeypatch):
     bodies = [(f"raw-{d}", v, json.dumps({"elements": es})) for d, v, _, es in RECORDS]
     both = typed(spark, RECORDS), spark.createDataFrame(bodies, "doc_id string, volume int, body string")
