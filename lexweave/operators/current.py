@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .partitioning import written
 
-#: Folders at most, by hash of the file, in which the places of rows that lost are written.
+#: Folders at most, by hash of the file, in which the places of the rows that are kept are written.
 MAX_BUCKETS = 4096
 
 
@@ -29,10 +29,9 @@ def current_rows(df: DataFrame, keys: Sequence[str | Column], order: Sequence[st
     """One row of ``df`` per ``keys``: the one with the greatest ``order`` columns (nulls are least), all columns kept.
 
     A table read from files is never moved: the winners are found on the key and order columns alone by a partially
-    aggregated maximum, and the places (file, row) of the rows that lost are written to the shared folder by file. A task
-    then reads the places of its own files and leaves those rows out (:func:`_kept`). Nothing is broadcast and no exchange
-    carries the other columns, however many rows lost; a hot key is one row after the partial maximum, and the places are
-    unique, so no join is skewed.
+    aggregated maximum, and their places (file, row) are written to the shared folder by file. A task then reads the
+    places of its own files and leaves all other rows out (:func:`_kept`). There is no join, nothing is broadcast and no
+    exchange carries the other columns, however many rows are left out; a hot key is one row after the partial maximum.
 
     Rows that tie in every order column are the same delivery repeated; one of them, by position in the files, is kept.
     A null key is a key like any other. Other frames use a ranked window, which Spark limits before its shuffle.
@@ -40,44 +39,48 @@ def current_rows(df: DataFrame, keys: Sequence[str | Column], order: Sequence[st
     names = [c for c in order if c in df.columns]
     named = [(F.col(k) if isinstance(k, str) else k).alias(f"__k{i}") for i, k in enumerate(keys)]
     if not _has_row_ids(df):
-        w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in names])
+        w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in names], F.lit(0))
         return df.withColumn("__rank", F.row_number().over(w)).where("__rank = 1").drop("__rank")
     file, row = F.xxhash64("_metadata.file_path"), F.col("_metadata.row_index")
     narrow = df.select(*named, F.struct(*(F.col(c).alias(f"o{i}") for i, c in enumerate(names)), file.alias("f"), row.alias("r")).alias("o"))
     best = narrow.groupBy(*(f"__k{i}" for i in range(len(named)))).agg(F.max("o").alias("o")).select("o.f", "o.r")
     buckets = max(1, min(MAX_BUCKETS, len(df.inputFiles())))
-    lost = df.select(file.alias("f"), row.alias("r")).join(best, ["f", "r"], "left_anti").withColumn("bucket", F.pmod("f", F.lit(buckets)).cast("int"))
-    path = written(lost.repartition("bucket") if buckets > 1 else lost, "bucket")
+    best = best.withColumn("bucket", F.pmod("f", F.lit(buckets)).cast("int"))
+    path = written(best.repartition("bucket").sortWithinPartitions("bucket", "f", "r"), "bucket")
     return df.where(_kept(path, buckets)(file, row))
 
 
 def _kept(path: str, buckets: int):
-    """Whether a row, by file and place, is not among the places written under ``path``."""
+    """Whether a row, by file and place, is among the places written under ``path``."""
 
     @F.arrow_udf("boolean")
     def kept(files: pa.Array, rows: pa.Array) -> pa.Array:
         f, r = files.to_numpy(zero_copy_only=False), rows.to_numpy(zero_copy_only=False)
-        out = np.ones(len(f), bool)
+        out = np.zeros(len(f), bool)
         for own in np.unique(f).tolist():
             mine = f == own
-            out[mine] = ~np.isin(r[mine], lost_rows(path, own, own % buckets))
+            places = places_of(path, own, own % buckets)
+            at = r[mine]
+            out[mine] = (at < len(places)) & places[np.minimum(at, len(places) - 1)]
         return pa.array(out)
 
     return kept
 
 
 @lru_cache(maxsize=4)
-def lost_rows(path: str, file: int, bucket: int) -> np.ndarray:
-    """Places, in one file, of the rows that lost; read by the task that reads the file."""
+def places_of(path: str, file: int, bucket: int) -> np.ndarray:
+    """A flag for each row of one file, up to the last that is kept; read by the task that reads the file."""
     import pyarrow.dataset as ds
     from pyarrow import fs
 
     system, root = fs.FileSystem.from_uri(path)
     folder = f"{root}/bucket={bucket}"
     if system.get_file_info(folder).type != fs.FileType.Directory:
-        return np.zeros(0, np.int64)
-    table = ds.dataset(folder, filesystem=system, format="parquet").to_table(columns=["r"], filter=ds.field("f") == file)
-    return table.column("r").to_numpy()
+        return np.zeros(1, bool)
+    rows = ds.dataset(folder, filesystem=system, format="parquet").to_table(columns=["r"], filter=ds.field("f") == file).column("r").to_numpy()
+    out = np.zeros(rows.max(initial=0) + 1, bool)
+    out[rows] = True
+    return out
 
 
 def current_structure(structure: DataFrame) -> DataFrame:
