@@ -219,17 +219,66 @@ def test_leaks(spark):
     d = spark.createDataFrame(docs, "doc_id bigint, text string").withColumn("item_id", F.lit("x"))
     e = spark.createDataFrame([*items.items(), (900, None), (901, " "), (902, FORMULA)], "item_id bigint, text string")
     got = {(r.doc_id, r.item_id) for r in leakage.leaks(d, e).collect()}
-    assert got == want
+    assert got == want, (got - want, want - got)
     assert leakage.leaks(d, e.where("false")).count() == 0 and leakage.leaks(d.where("false"), e).count() == 0
 
 
-def test_leaks_of_items_shorter_than_a_window():
+def test_leaks_of_short_items_and_documents():
     texts = ["kelvar tromino", "dastrel vokun mirabel", "quintar zophel brimald yestern", "ulmarit pesgol wendra hactil oskeran jubilor", "zorbane"]
     items = leakage.Items(list(range(len(texts))), texts)
-    docs = [f"the report of the year says {t} and then goes on about other things" for t in texts] + ["quintar zophel brimold yestern", "zorbane"]
-    assert {x[:2] for x in leakage.find(items, docs)} == {(k, k) for k in range(len(texts))} | {(5, 2), (6, 4)}
+    docs = [f"the report of the year says {t} and then goes on about other things" for t in texts] + ["quintar zophel brimold yestern", "zorbane", "nothing here"]
+    want = {(k, k) for k in range(len(texts))} | {(5, 2), (6, 4)}
+    for size in (1, 3, len(docs)):  # whatever else is in the batch
+        got = {(k + d, i) for k in range(0, len(docs), size) for d, i, *_ in leakage.find(items, docs[k : k + size])}
+        assert got == want
     long = leakage.Items([1, 2], ["kelvar tromino", " ".join(f"word{chr(97 + i)}{chr(98 + i)}" for i in range(20))])
     assert {x[:2] for x in leakage.find(long, docs)} == {(0, 0)}
+    assert not leakage.find(leakage.Items([1], [" . "]), docs) and not leakage.find(items, ["", " "])
+
+
+def test_leaks_do_not_depend_on_item_blocks(spark):
+    items, rng = make_items(12), random.Random(8)
+    items |= {100 + i: FORMULA + f" {w} " + " ".join(rng.sample(WORDS, 10)) for i, w in enumerate(("one", "two", "three"))}
+    docs = [(i, " ".join(x for x in t.replace(FORMULA, "").split())) for i, t in items.items()] + [(900, FORMULA)]
+    d, e = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(list(items.items()), "item_id bigint, text string")
+    whole = sorted(tuple(r) for r in leakage.leaks(d, e).collect())
+    assert {r[:2] for r in whole} == {(i, i) for i in items} and all(r[2] == 1.0 for r in whole)
+    assert sorted(tuple(r) for r in leakage.leaks(d, e, block_chars=1200).collect()) == whole
+
+
+def test_formula_runs_are_counted_alike(spark):
+    items = make_items(9)
+    df = spark.createDataFrame(list(items.items()), "item_id bigint, text string")
+    got = {r.item_id: r.starts for r in leakage.own_parts(df).collect()}
+    words = folding.Words(list(items.values()))
+    want = leakage.formula_starts([words.hash[words.doc == k] for k in range(len(items))])
+    assert got == dict(zip(items, want, strict=True)) and sum(map(len, want)) == 3 * (len(FORMULA.split()) - 9)
+
+
+def test_tiles_give_the_alignment_of_the_whole(monkeypatch):
+    items, rng = make_items(6), random.Random(9)
+    index = leakage.Items(list(items), list(items.values()))
+    doc = " ".join(" ".join(t.split()[a : a + 30]) + " " + " ".join(rng.sample(WORDS, 90)) for t in items.values() for a in (0, 14) for _ in range(3))
+    whole = leakage.find(index, [doc])
+    monkeypatch.setattr(leakage, "TILE", 8)
+    assert leakage.find(index, [doc]) == whole and {x[1] for x in whole} == set(range(6))
+
+
+@pytest.mark.parametrize(("part", "noise"), [(0.62, 0.0), (0.62, 0.2), (0.7, 0.35), (1.0, 0.35)])
+def test_recall_of_noisy_copies(part, noise):
+    rng = random.Random(10)
+    items = {i: " ".join(rng.choice("bcdfgklmnprst") + "".join(rng.choice("aeioulnrst") for _ in range(rng.randint(3, 8))) for _ in range(rng.randint(50, 90))) for i in range(60)}
+    index = leakage.Items(list(items), list(items.values()))
+
+    def copy(text):
+        w = text.split()
+        n = int(np.ceil(part * len(w)))
+        a = rng.randint(0, len(w) - n)
+        w = [x[:k] + "q" + x[k + 1 :] if rng.random() < noise and (k := rng.randrange(len(x))) >= 0 else x for x in w[a : a + n]]
+        return " ".join(["filler words of no import"] * 8 + w + ["and so on and on"] * 8)
+
+    found = {x[:2] for x in leakage.find(index, [copy(t) for t in items.values()])}
+    assert found <= {(i, i) for i in items} and len(found) >= 0.9 * len(items)
 
 
 def test_equal_windows_have_equal_keys_and_near_ones_often_share_one():
