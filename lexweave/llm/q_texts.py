@@ -31,6 +31,11 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return lookalikes.same_look(_items(spark, d))
 
 
+def p4_classes(spark: SparkSession, d: str) -> DataFrame:
+    """The items of each look that more than one string has."""
+    return lookalikes.look_classes(_items(spark, d))
+
+
 def p4_forms(spark: SparkSession, d: str) -> DataFrame:
     """The consistent form of every chunk and block."""
     return lookalikes.forms(_items(spark, d))
@@ -46,4 +51,4 @@ def p5_clean(spark: SparkSession, d: str) -> DataFrame:
     return markup.converted(_items(spark, d)).withColumn("marks", F.to_json("marks")).distinct()
 
 
-QUERIES = {"p3_found": p3_found, "p3_pieces": p3_pieces, "p4_found": p4_found, "p4_forms": p4_forms, "p5_found": p5_found, "p5_clean": p5_clean}
+QUERIES = {"p3_found": p3_found, "p3_pieces": p3_pieces, "p4_found": p4_found, "p4_classes": p4_classes, "p4_forms": p4_forms, "p5_found": p5_found, "p5_clean": p5_clean}

@@ -127,6 +127,35 @@ def test_form_is_stable(text):
     assert lookalikes.canonical_text(once) == once
 
 
+def test_every_character_is_stable():
+    for code in range(0x110000):
+        if not 0xD800 <= code < 0xE000:
+            once = lookalikes.canonical_text(f"a{chr(code)}b")
+            assert lookalikes.canonical_text(once) == once, hex(code)
+
+
+def test_composed_and_decomposed_letters_are_one():
+    import unicodedata
+
+    for code in range(0x30000):
+        apart = unicodedata.normalize("NFD", chr(code)) if not 0xD800 <= code < 0xE000 else chr(code)
+        if apart != chr(code):
+            assert lookalikes.canonical_text(apart) == lookalikes.canonical_text(chr(code)), hex(code)
+
+
+@pytest.mark.parametrize("c", ["\ufe0f", "\u034f", "\u180b", "\u200d", "\u2060", "\ufeff", "\U000e0041", "\U000e0100", "\u061c" * 0])
+def test_invisible_characters_vanish(c):
+    assert lookalikes.canonical_text(f"a{c}e{c}\u0301{c}") == "a\u00e9"
+
+
+def test_further_look_alikes():
+    assert lookalikes.canonical_text("\u2163 \u217b") == "IV xii" and lookalikes.canonical_text("\u13a0\u0555\u3164x\u00b5") == "DO x\u03bc"
+    assert lookalikes.canonical_text("\uff76\uff9e") == "\u30ac" and lookalikes.canonical_text("\u1112\u1161\u11ab") == "\ud55c"
+    more = lookalikes.confusables(["# remark", "0431 ; 0036 ; MA # be", "0021 0021 ; 203C", ""])
+    assert more == {"\u0431": "6", "!!": "\u203c"}
+    assert lookalikes.Transducer(lookalikes.rules() | lookalikes.LINE_ENDS | more)("\u0431!!\u0430") == "6\u203ca"
+
+
 def test_conflicts_are_found():
     with pytest.raises(lookalikes.Conflict):
         lookalikes.Transducer({"a": "b", "b": "a"})
@@ -142,8 +171,13 @@ def test_pairs_match_brute_force(spark):
     df = spark.createDataFrame(rows, "item_kind string, item_id string, text string").withColumn("form", F.lit("x"))
     own = [r for r in dict.fromkeys(rows) if r[1] and r[2] is not None]
     want = {(k, a, b) for k, a, x in own for k2, b, y in own if k == k2 and a < b and x != y and lookalikes.canonical_text(x) == lookalikes.canonical_text(y)}
-    got = [tuple(r) for r in lookalikes.same_look(df, salts=3).collect()]
+    got = [tuple(r) for r in lookalikes.same_look(df, hot=3).collect()]
     assert set(got) == want and len(got) == len(want) and lookalikes.same_look(df.where("false")).count() == 0
+    classes = {}
+    for r in lookalikes.look_classes(df).collect():
+        classes.setdefault((r.item_kind, r["class"]), set()).add(r.item_id)
+    linked = {(k, a, b) for (k, _), ids in classes.items() for a in ids for b in ids if a < b}
+    assert linked >= want and {x for k, a, b in want for x in ((k, a), (k, b))} == {(k, i) for (k, _), ids in classes.items() for i in ids}
 
 
 # ---------------------------------------------------------------------------------------------------------- markup
