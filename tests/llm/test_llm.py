@@ -182,12 +182,16 @@ def test_pairs_match_brute_force(spark):
 
 # ---------------------------------------------------------------------------------------------------------- markup
 
-CLEAN = ["- (a) plain", "x (\\*) y (*) z", "5 * 3 * 2 cells", "value < 62 and > 84", "at $ 5 to $ 7 million", "[12] [sic] [3](b)", "{a, b}", "see file a_b_c.csv", "R&D; AT&T", "l'acte d'un", "a|b", "", "#61 item", "a**2 and b**3", "2 ^ 3", "**", "||"]
+CLEAN = ["- (a) plain", "x (\\*) y (*) z", "5 * 3 * 2 cells", "value < 62 and > 84", "at $ 5 to $ 7 million", "[12] [sic] [3](b)", "{a, b}", "see file a_b_c.csv", "R&D; AT&T", "l'acte d'un", "a|b", "", "#61 item", "a**2 and b**3", "2 ^ 3", "**", "||", "if x <b and c> d", "_config_.yml", "text <name> here", "[12][13]", "C:\\temp\\x", "* note", "a <b", "x\n-- y"]
 MARKED = {
     "<p>a</p>": "a", "a<br />b": "a\nb", "a &amp; b": "a & b", "**bold** x": "bold x", "__bold__": "bold", "*it* x": "it x", "~~no~~": "no", "`code`": "code", "[la](/doc/x-1)": "la",
     "a\n\n## Head\n\nb": "a\n\nHead\n\nb", "== Head ==": "Head", "[[Page|label]]": "label", "a {{t|5|y=1}}": "a  5", "''it''": "it", "\\textbf{b} c": "b c", "{\\em b} c": "b c",
     "$x_{2} \\le 5$": "x_2 ≤ 5", "\\(k^{5}\\)": "k^5", "\\[ R = \\frac{n_2}{46 + N} \\]": "R = (n_2)/(46 + N)", "\\section{T}": "T", "|a|b|\n|---|---|\n|1|2|": "a | b\n1 | 2",
     "<ul><li>a</li>\n<li>b</li></ul>": "- a\n\n- b", "\\begin{itemize}\n\\item a\n\\item b\n\\end{itemize}": "- a\n- b", "```\nx = 1\n```": "x = 1", "<!-- c -->a": "a", "a\n> b": "a\nb", "a~\\cite{b}": "a",
+    "&amp;lt;b&amp;gt;": "&lt;b&gt;", "&lt;p&gt; stays": "<p> stays", "<code>x &lt; <b>*y*</b></code>": "x < *y*", "`a *b* <i>`": "a *b* <i>", "<![CDATA[a <b> c]]>": "a <b> c", "~~~\na *b*\n~~~": "a *b*",
+    '<a title="x > y">z</a>': "z", "<address>x</address>": "x", "<video controls>x</video>": "x", "<w:p>a</w:p>": "a", "<foo>x</foo>": "x", "<!DOCTYPE html>\n<p>a": "a", "<http://a.b/c>": "http://a.b/c",
+    "Head\n====\ntext": "Head\n\ntext", "* a\n* b": "- a\n- b", "[t][1]\n\n[1]: http://x.y/z": "t", "a[^1]\n\n[^1]: note": "a\n\n(note)", "[http://x.y label]": "label", "{{t\n|a\n|b}}": "a\n b",
+    "\\textbf{a {b} c}": "a {b} c", "\\LaTeX": "LaTeX", "a<ref>note</ref>": "a (note)", "\\footnote{a {b}}": "(a {b})", "\\begin{verbatim}\n*x*\n\\end{verbatim}": "*x*",
 }
 
 
