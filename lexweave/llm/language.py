@@ -316,9 +316,10 @@ def languages(documents: DataFrame, model: Model | None) -> DataFrame:
 
 
 def document_languages(found: DataFrame, lang_codes: DataFrame) -> DataFrame:
-    """(doc_id, label, langs): the label's code, null if it names no language, and the languages of at least two whole sentences.
+    """(doc_id, label, langs, main): the label's code, null if it names no language; the languages of at least two whole sentences; the main one.
 
-    ``langs`` holds (lang, sentences, confidence), the language with most sentences first.
+    ``langs`` holds (lang, sentences, confidence), the language with most sentences first. ``main`` is the first of them or,
+    where no language has two whole sentences, the one in which most of the text stands; null without any letters.
     """
     codes = bounded_broadcast(lang_codes.groupBy(F.col("alias").alias("lang")).agg(F.min("code").alias("label")), 64)
     df = found.join(codes, "lang", "left")
@@ -331,8 +332,10 @@ def document_languages(found: DataFrame, lang_codes: DataFrame) -> DataFrame:
         ),
     )
     kept = F.filter(each, lambda x: x["sentences"] >= MIN_SENTENCES)
-    langs = F.transform(F.reverse(F.array_sort(kept)), lambda x: F.struct(x["lang"].alias("lang"), x["sentences"].alias("sentences"), (x["w"] / F.greatest(x["n"], F.lit(1))).alias("confidence")))
-    return df.select("doc_id", "label", langs.alias("langs"))
+    shown = lambda xs: F.transform(xs, lambda x: F.struct(x["lang"].alias("lang"), x["sentences"].alias("sentences"), (x["w"] / F.greatest(x["n"], F.lit(1))).alias("confidence")))
+    longest = F.array_sort(F.transform(each, lambda x: F.struct((-x["n"]).alias("k"), x["lang"].alias("l"), x.alias("x"))))
+    df = df.select("doc_id", "label", shown(F.reverse(F.array_sort(kept))).alias("langs"), shown(F.transform(F.slice(longest, 1, 1), lambda x: x["x"])).alias("longest"))
+    return df.select("doc_id", "label", "langs", F.coalesce(F.get("langs", F.lit(0)), F.get("longest", F.lit(0))).alias("main"))
 
 
 def relabelled(by_document: DataFrame) -> DataFrame:

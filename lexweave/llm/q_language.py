@@ -19,8 +19,9 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_languages(spark: SparkSession, d: str) -> DataFrame:
-    """The languages of every document, with the number of whole sentences and a confidence."""
-    return _by_document(spark, d).select("doc_id", "label", F.explode_outer("langs").alias("l")).select("doc_id", "label", "l.*")
+    """The languages of every document, its main one first, with the number of whole sentences and a confidence."""
+    langs = F.when(F.size("langs") > 0, F.col("langs")).otherwise(F.array("main"))
+    return _by_document(spark, d).select("doc_id", "label", F.explode_outer(langs).alias("l")).select("doc_id", "label", "l.*")
 
 
 def p8_passages(spark: SparkSession, d: str) -> DataFrame:

@@ -5,20 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.current import current_structure
+from ..operators.current import current_chunks, current_structure
 from ..operators.texts import block_texts, chunk_texts, paragraph_texts
 from . import lookalikes, markup, splitting
 
 
-def _items(spark: SparkSession, d: str, paragraphs: bool = False) -> DataFrame:
+def _items(spark: SparkSession, d: str, paragraphs: bool = False, once: bool = False) -> DataFrame:
+    """Chunks and current blocks, and paragraphs if asked for; ``once`` leaves out chunks that were delivered again."""
     current = current_structure(spark.read.parquet(f"{d}/structure.parquet"))
-    out = chunk_texts(spark.read.parquet(f"{d}/chunks.parquet")).unionByName(block_texts(current))
+    chunks = spark.read.parquet(f"{d}/chunks.parquet")
+    out = chunk_texts(current_chunks(chunks) if once else chunks).unionByName(block_texts(current))
     return out.unionByName(paragraph_texts(current)) if paragraphs else out
 
 
 def p3_pieces(spark: SparkSession, d: str) -> DataFrame:
     """Pieces of chunks, blocks and paragraphs longer than the limit."""
-    return splitting.pieces(_items(spark, d, paragraphs=True)).distinct()
+    return splitting.pieces(_items(spark, d, paragraphs=True, once=True))
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -38,7 +40,7 @@ def p4_classes(spark: SparkSession, d: str) -> DataFrame:
 
 def p4_forms(spark: SparkSession, d: str) -> DataFrame:
     """The consistent form of every chunk and block."""
-    return lookalikes.forms(_items(spark, d))
+    return lookalikes.forms(_items(spark, d, once=True))
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
@@ -48,7 +50,7 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p5_clean(spark: SparkSession, d: str) -> DataFrame:
     """Clean text of the chunks and blocks that hold markup, with the places of what is kept recognisable."""
-    return markup.converted(_items(spark, d)).withColumn("marks", F.to_json("marks")).distinct()
+    return markup.converted(_items(spark, d, once=True)).withColumn("marks", F.to_json("marks"))
 
 
 QUERIES = {"p3_found": p3_found, "p3_pieces": p3_pieces, "p4_found": p4_found, "p4_classes": p4_classes, "p4_forms": p4_forms, "p5_found": p5_found, "p5_clean": p5_clean}

@@ -2,16 +2,18 @@
 
 Agglomerative merging: a text is cut into atomic segments, which are words with the white space after them; the boundary
 between two neighbours has a strength, greatest between paragraphs, then lines, sentences, clauses and words. All
-adjacent pairs lie in a heap, weakest boundary first (of equal ones the smallest pair, then the leftmost), and are merged
+adjacent pairs lie in a heap, weakest boundary first (of equal ones the leftmost, so pieces are filled up), and are merged
 while their size together with the overlap fits the limit. What cannot be merged any more are the pieces, so cuts stand at
 the strongest boundaries that the limit allows. An atomic segment that is too long by itself is cut hard, never between a
 character and its combining marks or joiners.
 
-Each piece after the first begins with the last ``overlap`` characters of the one before, so pieces without their overlap
-give back the text, character for character.
+Each piece after the first begins with the last ``overlap`` characters of the one before, moved to the nearest word's
+beginning: to the left if the piece stays within the limit and the overlap grows by less than half, else to the right if at
+least half of it remains, else to the next place that parts no letter from its marks. Pieces without their overlap give back
+the text, character for character.
 
-Defined results: a text within the limit is one piece; null and empty texts have no pieces; the overlap is shorter only
-where the piece before has fewer characters than that; copies of an item delivered again give the same pieces once.
+Defined results: a text within the limit is one piece; null and empty texts have no pieces; the overlap is all of the piece
+before where that has fewer characters; copies of an item delivered again give the same pieces once.
 """
 
 from __future__ import annotations
@@ -50,7 +52,7 @@ def _hard(text: str, begin: int, end: int, size: int) -> list[int]:
     out = []
     while end - begin > size:
         cut = begin + size
-        while cut > begin + 1 and (unicodedata.category(text[cut])[0] == "M" or text[cut] in "\u200d\u200c" or text[cut - 1] == "\u200d"):
+        while cut > begin + 1 and _parted(text, cut):
             cut -= 1
         if cut == begin + 1 and size > 1:
             cut = begin + size
@@ -77,10 +79,10 @@ def cuts(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[int]:
     follows, before = list(range(1, n + 1)), list(range(-1, n - 1))
     stop, version = ends[:], [0] * n
     size = lambda i: stop[i] - begins[i]
-    heap = [(force[i], ends[i + 1] - begins[i], i, 0, 0) for i in range(n - 1)]
+    heap = [(force[i], i, ends[i + 1] - begins[i], 0, 0) for i in range(n - 1)]
     heapq.heapify(heap)
     while heap:
-        _, total, i, vi, vj = heapq.heappop(heap)
+        _, i, total, vi, vj = heapq.heappop(heap)
         j = follows[i]
         if version[i] != vi or j >= n or version[j] != vj or version[i] < 0:
             continue
@@ -93,9 +95,9 @@ def cuts(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[int]:
         follows[i] = k = follows[j]
         if k < n:
             before[k] = i
-            heapq.heappush(heap, (force[i], stop[k] - begins[i], i, version[i], version[k]))
+            heapq.heappush(heap, (force[i], i, stop[k] - begins[i], version[i], version[k]))
         if (h := before[i]) >= 0:
-            heapq.heappush(heap, (force[h], size(h) + size(i), h, version[h], version[i]))
+            heapq.heappush(heap, (force[h], h, size(h) + size(i), version[h], version[i]))
     out, i = [], 0
     while i < n:
         out.append(stop[i])
@@ -103,11 +105,32 @@ def cuts(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[int]:
     return out
 
 
+def _parted(text: str, at: int) -> bool:
+    """Whether a cut at this place parts a letter from its marks or joiners."""
+    return unicodedata.category(text[at])[0] == "M" or text[at] in "\u200d\u200c" or text[at - 1] == "\u200d"
+
+
+def overlap_start(text: str, before: int, own: int, end: int, limit: int, overlap: int) -> int:
+    """Where the piece own to end begins with its overlap; the piece before begins at ``before``."""
+    at = max(before, own - overlap)
+    if at in (before, own):
+        return at
+    starts = lambda k: text[k - 1].isspace() and not text[k].isspace()
+    least = max(before, end - limit, at - overlap // 2)
+    left = next((k for k in range(at, least - 1, -1) if k == before or starts(k)), None)
+    if left is not None:
+        return left
+    right = next((k for k in range(at, own - overlap // 2) if starts(k)), None)
+    if right is not None:
+        return right
+    return next((k for k in range(at, own) if not _parted(text, k)), own)
+
+
 def split_text(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[int, int, int]]:
     """(begin, own, end) of each piece: ``text[begin:own]`` is the overlap with the piece before."""
     out, own = [], 0
     for end in cuts(text, limit, overlap):
-        out.append((max(out[-1][0], own - overlap) if out else own, own, end))
+        out.append((overlap_start(text, out[-1][0], own, end, limit, overlap) if out else own, own, end))
         own = end
     return out
 

@@ -82,11 +82,11 @@ def test_pieces_give_back_the_text(text, limit, overlap):
     pieces = splitting.split_text(text, limit, overlap)
     assert "".join(text[own:end] for _, own, end in pieces) == text
     for (b0, _, e0), (b1, o1, e1) in zip(pieces, pieces[1:], strict=False):
-        assert o1 == e0 and o1 - b1 == min(overlap, e0 - b0) and e1 - b1 <= limit
+        assert o1 == e0 and b0 <= b1 <= o1 and o1 - b1 <= overlap + overlap // 2 and e1 - b1 <= limit
+        assert b1 in (b0, o1) or not splitting._parted(text, b1) or all(splitting._parted(text, k) for k in range(b1, o1))
     assert all(e - b <= limit for b, _, e in pieces)
-    for (_, _, e0), (b1, _, e1) in zip(pieces, pieces[1:], strict=False):  # no two neighbours could be one
-        first = next(p for p in pieces if p[2] == e0)
-        assert e1 - first[0] > limit
+    for n, ((_, o0, _), (_, _, e1)) in enumerate(zip(pieces, pieces[1:], strict=False)):  # no two neighbours could be one
+        assert e1 - o0 > (limit - overlap if n else limit)
 
 
 def test_cuts_stand_at_strong_boundaries():
@@ -97,6 +97,14 @@ def test_cuts_stand_at_strong_boundaries():
         splitting.cuts("x", 5, 5)
 
 
+def test_overlaps_begin_at_words_and_pieces_are_filled():
+    text = "Ten words make up this one sentence of the text. " * 60
+    pieces = splitting.split_text(text)
+    assert all(text[b - 1] == " " and 60 <= o - b <= 180 for b, o, _ in pieces[1:]) and all(e - b > 1000 for b, _, e in pieces[:-1])
+    marked = "e\u0301" * 900
+    assert all(not splitting._parted(marked, b) for b, _, _ in splitting.split_text(marked)[1:])
+
+
 def test_pieces_of_rows(spark):
     df = spark.createDataFrame([("chunk", "a", "w " * 700), ("chunk", "b", "short"), ("block", None, "w " * 700), ("chunk", "a", "w " * 700), ("chunk", "n", None)], "item_kind string, item_id string, text string").withColumn("piece", F.lit(1))
     out = splitting.pieces(df).distinct()
@@ -352,6 +360,9 @@ def test_languages(spark):
     model = language.train(docs, codes)
     got = {(r.doc_id, r.lang) for r in language.relabelled(language.document_languages(language.languages(docs, model), codes)).collect()}
     assert got == {(100, "en"), (101, "en"), (101, "de"), (102, "el"), (108, "de")}
+    short = docs.where("doc_id = 102").select("doc_id", F.lit("The board shall").alias("text"), "lang")
+    one = language.document_languages(language.languages(short.unionByName(docs.where("doc_id = 107").select("doc_id", "text", "lang")), model), codes).collect()
+    assert {(r.doc_id, r.langs == [], r.main and r.main.lang) for r in one} == {(102, True, "en"), (107, True, None)}
     p = language.languages(docs.where("doc_id = 101"), model).first().passages
     assert [(x.lang, x.sentences) for x in p] == [("en", 3), ("de", 3)] and p[0].begin == 0 and p[0].end == p[1].begin and all(0 <= x.confidence <= 1 for x in p)
     assert language.languages(docs.where("false"), model).count() == 0 and language.train(docs.where("false"), codes) is None
