@@ -115,7 +115,7 @@ def overlap_start(text: str, before: int, own: int, end: int, limit: int, overla
     at = max(before, own - overlap)
     if at in (before, own):
         return at
-    starts = lambda k: text[k - 1].isspace() and not text[k].isspace()
+    starts = lambda k: text[k - 1].isspace() and not text[k].isspace() and not _parted(text, k)
     least = max(before, end - limit, at - overlap // 2)
     left = next((k for k in range(at, least - 1, -1) if k == before or starts(k)), None)
     if left is not None:
