@@ -30,7 +30,10 @@ def _reference(kind: str, target: Column, *rest: Column) -> Column:
     return F.struct(F.lit(kind).alias("type"), target.alias("target"), *(p.alias(n) for p, n in zip(parts, FIELDS[2:], strict=True)))
 
 
-_CUT = "\x01"
+REFERENCES = "array<struct<type:string,target:string,paragraph:string,subparagraph:string,point:string,subpoint:string>>"
+ACT = "struct<kind:string,identifier:string,date:date,short_title:string,oj_reference:string>"
+
+_CUT, _END = "\x01", "\x02"
 
 
 def _groups(match: Column, pattern: str, n: int) -> Column:
@@ -38,18 +41,27 @@ def _groups(match: Column, pattern: str, n: int) -> Column:
     return F.split(F.regexp_replace(match, rf"\A(?:{pattern})\z".replace("\\z)\\z", "\\z)"), _CUT.join(f"${k}" for k in range(1, n + 1))), _CUT, -1)
 
 
+def _all_groups(text: Column, pattern: str, n: int) -> Column:
+    """The groups of every match in a text, from one scan that puts them in place of all that stands before and between.
+
+    Group 1 must not be empty. A group that took no part is empty.
+    """
+    cut = F.split(F.regexp_replace(text, rf"(?s).*?(?:{pattern}|\z)", _END + _CUT.join(f"${k}" for k in range(1, n + 1))), _END, -1)
+    return F.filter(F.transform(cut, lambda r: F.split(r, _CUT, -1)), lambda g: F.get(g, F.lit(0)) != "")
+
+
 def references(text: Column) -> Column:
     """All references of a text: those to sections, then those to articles, then those to chapters outside the section ones."""
-    whole = lambda t, pattern: F.regexp_extract_all(t, F.lit(pattern), F.lit(0))
-    none = F.slice(F.array(_reference("article", F.lit(""))), 1, 0)
+    none = F.array().cast(REFERENCES)
 
-    def article(m: Column) -> Column:
-        return let(_groups(m, ARTICLE, 5), lambda g: _reference("article", F.get(g, F.lit(0)), F.get(g, F.lit(1)), F.lower(F.get(g, F.lit(2))), F.lower(F.get(g, F.lit(3))), F.lower(F.get(g, F.lit(4)))))
+    def article(g: Column) -> Column:
+        return _reference("article", F.get(g, F.lit(0)), F.get(g, F.lit(1)), F.lower(F.get(g, F.lit(2))), F.lower(F.get(g, F.lit(3))), F.lower(F.get(g, F.lit(4))))
 
-    sections = F.transform(whole(text, SECTION), lambda m: let(_groups(m, SECTION, 2), lambda g: _reference("section", F.concat(F.upper(F.get(g, F.lit(0))), F.lit("."), F.get(g, F.lit(1))))))
+    sections = F.transform(_all_groups(text, SECTION, 2), lambda g: _reference("section", F.concat(F.upper(F.get(g, F.lit(0))), F.lit("."), F.get(g, F.lit(1)))))
     chapters = F.transform(F.regexp_extract_all(F.regexp_replace(text, SECTION, " "), F.lit(CHAPTER), F.lit(1)), lambda a: _reference("chapter", F.upper(a)))
-    some = text.rlike("(?i)chapter")
-    return F.concat(F.when(some, sections).otherwise(none), F.transform(whole(text, ARTICLE), article), F.when(some, chapters).otherwise(none))
+    articles = F.transform(_all_groups(text, ARTICLE, 5), article)
+    chaptered, with_article = text.rlike("(?i)chapter"), text.rlike("(?i)article")
+    return F.concat(F.when(chaptered, sections).otherwise(none), F.when(with_article, articles).otherwise(none), F.when(chaptered, chapters).otherwise(none))
 
 
 def cited_act(text: Column) -> Column:

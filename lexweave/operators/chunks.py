@@ -49,11 +49,14 @@ def packed(element_id: Column, blocks: Column, max_chars: int = MAX_CHARS) -> Co
 
 
 def chunks(elements: DataFrame, titles: DataFrame | None = None, max_chars: int = MAX_CHARS) -> DataFrame:
-    """One row a chunk with the citation fields of its element; ``titles`` (doc_id, title) gives document titles.
+    """One row a chunk with the citation fields of its element.
 
+    The document's title is the elements' ``doc_title`` if they have one, else that of ``titles`` (doc_id, title), else null.
     Empty paths and missing chapters are null. An element without blocks has no chunks.
     """
-    df = elements.join(titles.select("doc_id", F.col("title").alias("doc_title")), "doc_id", "left") if titles is not None else elements.withColumn("doc_title", F.lit(None).cast("string"))
+    df = elements
+    if "doc_title" not in df.columns:
+        df = df.join(titles.select("doc_id", F.col("title").alias("doc_title")), "doc_id", "left") if titles is not None else df.withColumn("doc_title", F.lit(None).cast("string"))
     path = F.when(F.size("path") > 0, F.col("path"))
     df = df.select("doc_id", "doc_title", F.col("id").alias("element_id"), F.col("type").alias("element_type"), F.col("number").alias("element_number"), F.col("title").alias("element_title"), path.alias("section_path"), "chapter", F.explode(packed(F.col("id"), F.col("blocks"), max_chars)).alias("c"))
     return df.select("doc_id", "doc_title", "element_id", "element_type", "element_number", "element_title", "section_path", "chapter", "c.*")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.textnorm import built_once, let, markdown_kind, picture_count, split_lines, strip, strip_markdown, without_picture_text
-from .tables import BLOCK, make_block, parse_table
+from .tables import make_block, parse_table
 
 _GAP = r"[\p{IsWhite_Space}\x1f&&[^\n]]"
 _HEADING = rf"\A(#{{1,6}}){_GAP}+([^\n]*\S[^\n]*)"
@@ -110,9 +110,16 @@ def sections(docs: DataFrame) -> DataFrame:
     )
 
 
+def with_sections(df: DataFrame) -> DataFrame:
+    """``df`` with ``sections``, those with blocks, in place of its ``heads``: struct(level, title, path, blocks)."""
+    return df.withColumn("sections", _expressions()[1]).drop("heads")
+
+
+def heads() -> Column:
+    """The parts of ``text`` at its headings."""
+    return _expressions()[0]
+
+
 def discarded_pictures(docs: DataFrame) -> DataFrame:
     """(doc_id, discarded): how many picture texts were left out."""
     return docs.select("doc_id", F.coalesce(picture_count(F.col("text")), F.lit(0)).alias("discarded"))
-
-
-ELEMENT_BLOCKS = f"array<{BLOCK}>"

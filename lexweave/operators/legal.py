@@ -6,19 +6,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import markers as M
-from ..functions.refs import references
+from ..functions.refs import ACT, REFERENCES, cited_act, references
 from ..functions.textnorm import ANNEX_LINE, ARTICLE_LINE, CHAPTER_LINE, SECTION_LINE, WS, built_once, clean_line, let, long_date, normalize_text, roman_to_int, split_lines, strip
 from .generic import with_ids
-from .tables import make_block, parse_table
+from .tables import BLOCK, make_block, parse_table
 
 _SEP = "\x01"  # stands for the line breaks within a table, which is one line to the parser
 _BOUNDARY = rf"(?dmi)(?=^(?:CHAPTER[{WS}&&[^\n]]+[IVXLCDM]+|Article[{WS}&&[^\n]]+[0-9]+[A-Za-z]?|ANNEX[{WS}&&[^\n]]+[IVXLCDM]+)$)"
-_ITEM = "struct<number:string,label:string,category:string,intro:string,text:string,subpoints:array<struct<label:string,text:string,note:string>>>"
-_POINT = "struct<label:string,text:string,subpoints:array<struct<label:string,text:string>>>"
+_ITEM = (
+    f"struct<index:int,number:string,label:string,category:string,intro:string,text:string,"
+    f"subpoints:array<struct<label:string,text:string,note:string,references:{REFERENCES}>>,references:{REFERENCES},cited_act:{ACT}>"
+)
+_POINT = f"struct<label:string,text:string,subpoints:array<struct<label:string,text:string,references:{REFERENCES}>>,references:{REFERENCES}>"
 _PARAGRAPH = f"struct<index:int,number:string,intro:string,text:string,points:array<{_POINT}>>"
 _SECTION = f"struct<label:string,title:string,items:array<{_ITEM}>>"
 _CLOSING = "struct<place:string,date:string,signatories:array<struct<body:string,role:string,name:string>>>"
-_PARSED = f"struct<intro:string,text:string,paragraphs:array<{_PARAGRAPH}>,items:array<{_ITEM}>,sections:array<{_SECTION}>,closing:{_CLOSING}>"
+PARSED = f"struct<intro:string,text:string,references:{REFERENCES},paragraphs:array<{_PARAGRAPH}>,items:array<{_ITEM}>,sections:array<{_SECTION}>,closing:{_CLOSING}>"
 
 # The closing formula, signatures, and what begins a new paragraph after a list.
 DONE_AT = rf"(?i)Done[{WS}]+at[{WS}]+(.+?),[{WS}]+([0-9]{{1,2}}[{WS}]+\w+[{WS}]+[0-9]{{4}})\."
@@ -54,8 +57,16 @@ def parse_closing(body: Column) -> Column:
     return let(F.split(body, DONE_AT, 2), build)
 
 
+def _points(points: Column) -> Column:
+    """Points in their type; references come later (:func:`with_references`)."""
+    none = _null(REFERENCES)
+    sub = lambda x: F.struct(x["label"].alias("label"), x["text"].alias("text"), none.alias("references"))
+    one = lambda p: F.struct(p["label"].alias("label"), p["text"].alias("text"), F.transform(p["subpoints"], sub).alias("subpoints"), none.alias("references"))
+    return F.transform(points, one).cast(f"array<{_POINT}>")
+
+
 def _paragraph(index: Column, number: Column, intro: Column, text: Column, points: Column) -> Column:
-    return F.struct(index.cast("int").alias("index"), number.alias("number"), intro.alias("intro"), text.alias("text"), points.cast(f"array<{_POINT}>").alias("points"))
+    return F.struct(index.cast("int").alias("index"), number.alias("number"), intro.alias("intro"), text.alias("text"), _points(points).alias("points"))
 
 
 def numbered_paragraphs(entries: Column) -> Column:
@@ -75,7 +86,7 @@ def unnumbered_paragraphs(body: Column, fix_last_point: bool = False) -> Column:
     """
 
     def build(m: Column) -> Column:
-        none, no_points = _null("string"), _null(f"array<{_POINT}>")
+        none, no_points = _null("string"), _null("array<struct<label:string,text:string,subpoints:array<struct<label:string,text:string>>>>")
         entries = F.transform(m["entries"], lambda e: F.struct(e["label"].alias("label"), strip(e["text"]).alias("text"), _null("array<struct<label:string,text:string>>").alias("subpoints")))
 
         def with_points(es: Column) -> Column:
@@ -104,11 +115,16 @@ def unnumbered_paragraphs(body: Column, fix_last_point: bool = False) -> Column:
 
 
 def _items(items: Column) -> Column:
-    return F.transform(items, lambda n: F.struct(n["number"].alias("number"), _null("string").alias("label"), n["category"].alias("category"), n["intro"].alias("intro"), n["text"].alias("text"), n["subpoints"].alias("subpoints"))).cast(f"array<{_ITEM}>")
+    """Items in their type, numbered from 1; references and cited acts come later (:func:`with_references`)."""
+    sub = lambda x: F.struct(x["label"].alias("label"), x["text"].alias("text"), x["note"].alias("note"), _null(REFERENCES).alias("references"))
+    return F.transform(items, lambda n, i: F.struct(
+        (i + 1).cast("int").alias("index"), n["number"].alias("number"), _null("string").alias("label"), n["category"].alias("category"), n["intro"].alias("intro"), n["text"].alias("text"),
+        F.transform(n["subpoints"], sub).alias("subpoints"), _null(REFERENCES).alias("references"), _null(ACT).alias("cited_act"),
+    )).cast(f"array<{_ITEM}>")
 
 
 def _parsed(**fields: Column) -> Column:
-    kinds = {"intro": "string", "text": "string", "paragraphs": f"array<{_PARAGRAPH}>", "items": f"array<{_ITEM}>", "sections": f"array<{_SECTION}>", "closing": _CLOSING}
+    kinds = {"intro": "string", "text": "string", "references": REFERENCES, "paragraphs": f"array<{_PARAGRAPH}>", "items": f"array<{_ITEM}>", "sections": f"array<{_SECTION}>", "closing": _CLOSING}
     return F.struct(*(fields.get(k, F.lit(None)).cast(v).alias(k) for k, v in kinds.items()))
 
 
@@ -148,14 +164,43 @@ def parse_annex(lines: Column) -> Column:
 
         def dashed(m: Column) -> Column:
             texts = F.filter(F.transform(m["entries"], lambda e: strip(e["text"])), lambda x: x != "")
-            items = F.transform(texts, lambda x: F.struct(_null("string").alias("number"), _null("string").alias("label"), _null("string").alias("category"), _null("string").alias("intro"), x.alias("text"), _null("array<struct<label:string,text:string,note:string>>").alias("subpoints")))
-            return F.when(F.size(m["entries"]) > 0, _parsed(intro=F.nullif(strip(m["intro"]), F.lit("")), items=items)).otherwise(_parsed(text=F.nullif(t, F.lit(""))))
+            items = F.transform(texts, lambda x: F.struct(_null("string").alias("number"), _null("string").alias("category"), _null("string").alias("intro"), x.alias("text"), _null("array<struct<label:string,text:string,note:string>>").alias("subpoints")))
+            return F.when(F.size(m["entries"]) > 0, _parsed(intro=F.nullif(strip(m["intro"]), F.lit("")), items=_items(items))).otherwise(_parsed(text=F.nullif(t, F.lit(""))))
 
         return let(M.numbers(t), build)
 
     return let(parts, lambda s: F.when(F.size(s) > 0, _parsed(sections=F.transform(s, section))).otherwise(let(body, numbered)))
 
 
+def with_references(p: Column, annex: Column) -> Column:
+    """A parsed tree with the references of its points, subpoints, items and annex intros, and the acts that items cite.
+
+    Null where there are none. A point's are those of its whole text, its subpoints included; items with subpoints leave
+    theirs to these, and items of dash lists have none.
+    """
+    found = lambda t: let(references(t), lambda r: F.when(F.size(r) > 0, r)).cast(REFERENCES)
+    sub = lambda s: s.withField("references", found(s["text"]))
+
+    def point(x: Column) -> Column:
+        below = F.transform(x["subpoints"], lambda s: F.concat(F.lit(" ("), s["label"], F.lit(") "), s["text"]))
+        whole = F.concat(F.coalesce(x["text"], F.lit("")), F.coalesce(F.array_join(below, ""), F.lit("")))
+        return x.withField("references", found(whole)).withField("subpoints", F.transform(x["subpoints"], sub))
+
+    def item(x: Column) -> Column:
+        leaf = x["number"].isNotNull() & (F.coalesce(F.size(x["subpoints"]), F.lit(0)) <= 0)
+        noted = lambda s: s.withField("references", found(F.concat_ws(" ", s["text"], s["note"])))
+        own = x.withField("references", F.when(leaf, found(x["text"]))).withField("cited_act", F.when(leaf, cited_act(x["text"])).cast(ACT))
+        return own.withField("subpoints", F.transform(x["subpoints"], noted))
+
+    listed = p["items"].isNotNull() & annex
+    return F.when(p.isNotNull(), F.struct(
+        p["intro"].alias("intro"), p["text"].alias("text"), F.when(listed & p["intro"].isNotNull(), found(p["intro"])).alias("references"),
+        F.transform(p["paragraphs"], lambda x: x.withField("points", F.transform(x["points"], point))).alias("paragraphs"),
+        F.transform(p["items"], item).alias("items"), F.transform(p["sections"], lambda x: x.withField("items", F.transform(x["items"], item))).alias("sections"),
+        p["closing"].alias("closing"),
+    ).cast(PARSED))
+
+
 # --------------------------------------------------------------------------------------------------------- blocks
 
 
@@ -245,7 +290,13 @@ def segments(docs: DataFrame) -> DataFrame:
     What stands before the first marker is left out. ``chapter`` is that of the last chapter line before an article, its
     title the line after it, whatever that is; it goes on over annexes. Lines are cleaned and still hold tables.
     """
-    df = docs.select("doc_id", cleaned_lines(F.col("text")).alias("lines"))
+    df = with_parts(docs.select("doc_id", cleaned_lines(F.col("text")).alias("lines")))
+    out = df.select("doc_id", F.posexplode("parts").alias("seq", "p"))
+    return out.select("doc_id", (F.col("seq") + 1).alias("seq"), "p.type", "p.number", "p.chapter", "p.lines")
+
+
+def with_parts(df: DataFrame) -> DataFrame:
+    """``df`` with ``parts``, the articles and annexes of its ``lines``, in place of these: struct(type, number, lines, chapter)."""
     parts = F.filter(F.split(F.array_join("lines", "\n"), _BOUNDARY, -1), lambda s: F.regexp_extract(s, r"\A[^\n]*", 0).rlike(rf"{CHAPTER_LINE}|{ARTICLE_LINE}|{ANNEX_LINE}"))
 
     def typed(s: Column) -> Column:
@@ -254,19 +305,19 @@ def segments(docs: DataFrame) -> DataFrame:
         number = F.when(kind == "chapter", F.upper(F.regexp_extract(first, CHAPTER_LINE, 1))).when(kind == "article", F.regexp_extract(first, ARTICLE_LINE, 1)).otherwise(F.upper(F.regexp_extract(first, ANNEX_LINE, 1)))
         return F.struct(kind.alias("type"), number.alias("number"), lines.alias("lines"))
 
-    df = df.select("doc_id", F.transform(parts, typed).alias("parts"))
+    df = df.withColumn("parts", F.transform(parts, typed)).drop("lines")
     chapters = F.transform("parts", lambda p, i: F.when(p["type"] == "chapter", F.struct(i.alias("at"), p["number"].alias("number"), normalize_text(F.get(p["lines"], F.lit(0))).alias("title"))))
     df = df.withColumn("chapters", F.filter(chapters, lambda c: c.isNotNull()))
+    # spans between chapters, each cut out whole: every part is touched once
+    spans = F.transform("chapters", lambda c, k: F.struct(c.alias("c"), (F.coalesce(F.get("chapters", k + 1)["at"], F.size("parts")) - c["at"]).alias("n")))
+    before = F.transform(F.slice("parts", 1, F.coalesce(F.get("chapters", F.lit(0))["at"], F.size("parts"))), lambda p: p.withField("chapter", _null("struct<number:string,title:string>")))
 
-    def placed(p: Column, i: Column) -> Column:
-        before = F.filter(F.col("chapters"), lambda c: c["at"] < i)
-        last = F.get(before, F.size(before) - 1)
-        chapter = F.when((p["type"] == "article") & last.isNotNull(), F.struct(last["number"].alias("number"), last["title"].alias("title")))
-        return p.withField("chapter", chapter)
+    def within(s: Column) -> Column:
+        chapter = F.struct(s["c"]["number"].alias("number"), s["c"]["title"].alias("title"))
+        return F.transform(F.slice("parts", s["c"]["at"] + 1, s["n"]), lambda p: p.withField("chapter", F.when(p["type"] == "article", chapter)))
 
-    each = F.filter(F.transform("parts", placed), lambda p: p["type"] != "chapter")
-    out = df.select("doc_id", F.posexplode(each).alias("seq", "p"))
-    return out.select("doc_id", (F.col("seq") + 1).alias("seq"), "p.type", "p.number", "p.chapter", "p.lines")
+    each = F.filter(F.concat(before, F.flatten(F.transform(spans, within))), lambda p: p["type"] != "chapter")
+    return df.withColumn("parts", each).drop("chapters")
 
 
 @built_once
@@ -275,20 +326,29 @@ def _expressions(fix_last_point: bool) -> tuple[Column, ...]:
     rest = F.slice("prose", 2, F.greatest(F.size("prose") - 1, F.lit(0)))
     article = parse_article(normalize_text(F.array_join(rest, " ")), fix_last_point)
     parsed = F.when(F.col("type") == "article", article).when(F.size("prose") < 2, _parsed()).otherwise(parse_annex(rest))
-    return parsed, let(F.col("parsed"), lambda p: element_blocks(p, F.col("tables")))
+    return parsed, with_references(F.col("parsed"), F.col("type") == "annex"), let(F.col("parsed"), lambda p: element_blocks(p, F.col("tables")))
 
 
 def elements(docs: DataFrame, fix_last_point: bool = False) -> DataFrame:
     """Articles and annexes of documents (doc_id, text) with id, title, chapter, parsed tree and blocks."""
-    df = segments(docs)
+    none = {"level": "int", "title": "string", "path": "array<string>", "blocks": f"array<{BLOCK}>"}
+    return parsed_parts(segments(docs).withColumns({c: _null(t) for c, t in none.items()}), fix_last_point)
+
+
+def parsed_parts(df: DataFrame, fix_last_point: bool = False) -> DataFrame:
+    """Elements from parts (doc_id, seq, type, number, chapter, lines, level, title, path, blocks); other columns are kept.
+
+    Articles and annexes are parsed from their lines; sections come with title, path and blocks and have no tree.
+    """
+    law = F.col("type") != "section"
     prose = F.filter("lines", lambda x: ~x.startswith("|"))
     tables = F.filter("lines", lambda x: x.startswith("|"))
-    tail = F.when(F.col("type") == "article", F.col("number")).otherwise(roman_to_int(F.col("number")).cast("string"))
-    ident = F.concat("doc_id", F.lit(":"), F.when(F.col("type") == "article", "art").otherwise("annex"), tail)
-    df = df.select("doc_id", "seq", ident.alias("id"), "type", "number", "chapter", prose.alias("prose"), tables.alias("tables"))
-    parsed, blocks = _expressions(fix_last_point)
-    df = df.withColumn("title", normalize_text(F.get("prose", F.lit(0)))).withColumn("parsed", parsed)
-    return df.select("doc_id", "seq", "id", "type", "number", F.lit(None).cast("int").alias("level"), "title", F.lit(None).cast("array<string>").alias("path"), "chapter", "parsed", with_ids(blocks, F.col("id")).alias("blocks"))
+    tail = F.when(F.col("type") == "article", F.concat(F.lit("art"), "number")).when(law, F.concat(F.lit("annex"), roman_to_int(F.col("number")).cast("string"))).otherwise(F.concat(F.lit("sec"), F.col("seq").cast("string")))
+    df = df.withColumns({"id": F.concat("doc_id", F.lit(":"), tail), "prose": prose, "tables": tables}).drop("lines")
+    parsed, referring, blocks = _expressions(fix_last_point)
+    df = df.withColumns({"title": F.when(law, normalize_text(F.get("prose", F.lit(0)))).otherwise(F.col("title")), "parsed": F.when(law, parsed)})
+    df = df.withColumn("blocks", with_ids(F.when(law, blocks).otherwise(F.col("blocks")), F.col("id")))
+    return df.withColumn("parsed", referring).drop("prose", "tables")
 
 
 def element_references(df: DataFrame) -> DataFrame:

@@ -41,6 +41,13 @@ def with_metadata(docs: DataFrame, meta: DataFrame) -> DataFrame:
     return joined.select("d.*", *(F.when(missing, F.col("d.doc_id").cast("string")).otherwise(F.col("m.title")).alias(f) if f == "title" else F.col(f"m.{f}").alias(f) for f in FIELDS), F.col("m.extra").alias("extra"), missing.alias("placeholder"))
 
 
+def named(docs: DataFrame, sidecars: DataFrame) -> DataFrame:
+    """Documents (doc_id: the stem, text) under the doc_id of the sidecar of their stem, or the slug of the stem without one."""
+    own = sidecars.groupBy("stem").agg(F.min("doc_id").alias("own"))
+    df = docs.join(own, docs["doc_id"] == own["stem"], "left").withColumn("doc_id", F.coalesce("own", slugify(docs["doc_id"])))
+    return df.select(*docs.columns)
+
+
 def instrument_json(meta: DataFrame) -> DataFrame:
     """(doc_id, instrument): JSON of the bibliographic fields, nulls left out."""
     return meta.select("doc_id", instrument().alias("instrument"))
@@ -85,6 +92,12 @@ def first_supported(paths: DataFrame) -> DataFrame:
     return df.groupBy("stem").agg(F.min(F.struct("rank", "path")).alias("m")).select("stem", "m.path")
 
 
+def first_supported_files(found: DataFrame, stems: list[str]) -> DataFrame:
+    """Files (path, ...) that are the preferred ones of their stem; of the named stems if any are named."""
+    best = first_supported(found.select("path"))
+    return found.join(best.where(F.col("stem").isin(*stems)) if stems else best, "path", "left_semi")
+
+
 def without_artifact(docs: DataFrame, artifacts: DataFrame, key: str = "doc_id") -> DataFrame:
     """Documents for which there is no artifact."""
     return docs.join(artifacts.select(key).distinct(), key, "left_anti")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,16 +17,17 @@ QUERY_BLOCK = 4096
 def nearest(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
     """(query_id, vec_id, rank): the ``k`` vectors of greatest cosine to each query, itself left out.
 
-    Queries are the stated set, read in blocks of ``QUERY_BLOCK`` and held against all vectors by matrix products; every
-    task keeps ``k`` rows a query, so what is shuffled does not grow with a task's vectors. Ties go to the lesser id.
-    Vectors that are null, of zero length or of another dimension than the query are nobody's neighbours.
+    Queries are the stated set. They are read in blocks of about ``QUERY_BLOCK``, by a hash of their id, and held against all
+    vectors by matrix products; every task keeps the best ``k`` rows a query over all its batches, so what is shuffled does
+    not grow with a task's vectors. Ties go to the lesser id. Vectors that are null, of zero length or of another dimension
+    than the query are nobody's neighbours.
     """
     usable = "embedding is not null and size(embedding) > 0"
-    ids = sorted(r[0] for r in queries.where(usable).select("vec_id").distinct().collect())
+    queries = queries.where(usable).select("vec_id", "embedding")
+    blocks = max(1, math.ceil(queries.count() / QUERY_BLOCK))
     out = None
-    for b in range(0, max(1, len(ids)), QUERY_BLOCK):
-        block = ids[b : b + QUERY_BLOCK]
-        rows = queries.where(usable).where(F.col("vec_id").between(block[0], block[-1])).select("vec_id", "embedding").collect() if block else []
+    for b in range(blocks):
+        rows = queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b).collect()
         found = _block(vectors.where(usable), [(r[0], list(r[1])) for r in rows], k)
         out = found if out is None else out.unionByName(found)
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
@@ -45,6 +47,7 @@ def _block(vectors: DataFrame, queries: list[tuple[int, list[float]]], k: int) -
         for n in {len(v) for _, v in shared.value}:
             of = [(i, v) for i, v in shared.value if len(v) == n]
             by_size[n] = np.array([i for i, _ in of], np.int64), _unit(np.array([v for _, v in of], np.float64))
+        best = {n: (np.full((len(ids), k), -np.inf), np.full((len(ids), k), np.iinfo(np.int64).max)) for n, (ids, _) in by_size.items()}
         for batch in batches:
             names, lists = np.array(batch.column(0).to_pylist(), np.int64), batch.column(1).to_pylist()
             sizes = np.array([len(v) for v in lists])
@@ -56,11 +59,14 @@ def _block(vectors: DataFrame, queries: list[tuple[int, list[float]]], k: int) -
                 own = names[at]
                 score = q @ v.T
                 score[ids[:, None] == own[None, :]] = np.nan
-                score = np.where(np.isnan(score), -np.inf, score)
-                for row, query in zip(score, ids, strict=True):
-                    best = np.lexsort((own, -row))[:k]
-                    best = best[row[best] > -np.inf]
-                    if len(best):
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(best), query)), pa.array(own[best]), pa.array(row[best])], names=["query_id", "vec_id", "score"])
+                score = np.hstack([best[n][0], np.where(np.isnan(score), -np.inf, score)])
+                every = np.hstack([best[n][1], np.broadcast_to(own, (len(ids), len(own)))])
+                order = np.lexsort((every, -score), axis=1)[:, :k]
+                best[n] = np.take_along_axis(score, order, 1), np.take_along_axis(every, order, 1)
+        for n, (ids, _) in by_size.items():
+            score, every = best[n]
+            some = score > -np.inf
+            if some.any():
+                yield pa.RecordBatch.from_arrays([pa.array(np.broadcast_to(ids[:, None], score.shape)[some]), pa.array(every[some]), pa.array(score[some])], names=["query_id", "vec_id", "score"])
 
     return vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), "embedding").mapInArrow(run, "query_id bigint, vec_id bigint, score double")

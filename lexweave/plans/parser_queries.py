@@ -13,6 +13,7 @@ from ..functions import markers as K
 from ..functions import refs, textnorm
 from ..operators import chunks as C
 from ..operators import generic, legal, pipeline, tables
+from ..operators.current import current_metadata
 from ..operators.partitioning import spread
 
 QUERIES = {}
@@ -139,7 +140,7 @@ def cited_acts(spark: SparkSession, d: str) -> DataFrame:
     """Acts cited at the end of texts made from orders; a text that goes on after the act cites none."""
     o = spark.read.parquet(f"{d}/orders.parquet")
     text = F.concat(
-        F.lit("as in Directive "), F.date_format("o_orderdate", "yyyy"), F.lit("/"), F.col("o_orderkey").cast("string"), F.lit("/EC of "), F.date_format("o_orderdate", "d MMMM yyyy"),
+        F.lit("as in "), F.element_at(F.array(*map(F.lit, ["Directive", "Regulation", "DECISION"])), (F.pmod("o_custkey", F.lit(3)) + 1).cast("int")), F.lit(" "), F.date_format("o_orderdate", "yyyy"), F.lit("/"), F.col("o_orderkey").cast("string"), F.when(F.col("o_custkey") % 2 == 0, F.lit("/EC of ")).otherwise(F.lit("/EEC of ")), F.date_format("o_orderdate", "d MMMM yyyy"),
         F.lit(" on "), F.regexp_replace(F.lower("o_orderpriority"), r"\A[0-9]-", ""), F.when(F.col("o_orderkey") % 3 == 0, F.lit(" (OJ L 7, p. 9)")).when(F.col("o_orderkey") % 3 == 1, F.lit("")).otherwise(F.lit("; and more")),
     )
     a = o.select("o_orderkey", refs.cited_act(text).alias("a")).where("a is not null")
@@ -147,7 +148,7 @@ def cited_acts(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES["cited_acts"] = cited_acts
-ORACLES["cited_acts"] = """SELECT o_orderkey, 'directive' AS kind, year(o_orderdate) || '/' || o_orderkey || '/EC' AS identifier, strftime(o_orderdate, '%Y-%m-%d') AS date,
+ORACLES["cited_acts"] = """SELECT o_orderkey, (['directive', 'regulation', 'decision'])[CAST(o_custkey % 3 + 1 AS INTEGER)] AS kind, year(o_orderdate) || '/' || o_orderkey || CASE WHEN o_custkey % 2 = 0 THEN '/EC' ELSE '/EEC' END AS identifier, strftime(o_orderdate, '%Y-%m-%d') AS date,
 regexp_replace(lower(o_orderpriority), '^[0-9]-', '') AS short_title, CASE WHEN o_orderkey % 3 = 0 THEN 'OJ L 7, p. 9' END AS oj_reference FROM orders WHERE o_orderkey % 3 <> 2"""
 
 
@@ -229,21 +230,79 @@ ORACLES["picture_text"] = "SELECT p_partkey, p_name || '.' AS text, CAST(p_partk
 
 
 def chapter_asof(spark: SparkSession, d: str) -> DataFrame:
-    """The chapter of each article in documents of a region: nations are chapters, suppliers articles; an annex stands between."""
+    """The chapter of each article in a document made from each supplier: its nation is the chapter; an annex stands between its two articles."""
     n, s = spark.read.parquet(f"{d}/nation.parquet"), spark.read.parquet(f"{d}/supplier.parquet")
     roman = F.array(*map(F.lit, ["I", "II", "III", "IV", "V", "VI", "VII", "VIII", "IX", "X", "XI", "XII", "XIII", "XIV", "XV", "XVI", "XVII", "XVIII", "XIX", "XX", "XXI", "XXII", "XXIII", "XXIV", "XXV"]))
-    arts = s.groupBy("s_nationkey").agg(F.sort_array(F.collect_list("s_suppkey")).alias("keys"))
-    body = F.array_join(F.transform("keys", lambda k: F.concat(F.lit("Article "), k.cast("string"), F.lit("\nTitle\nbody"))), "\n")
-    part = n.join(arts, n["n_nationkey"] == arts["s_nationkey"]).select("n_regionkey", "n_nationkey", F.concat(F.lit("CHAPTER "), F.get(roman, F.col("n_nationkey")), F.lit("\n"), "n_name", F.lit("\n"), body, F.lit("\nANNEX I\nA\nb")).alias("t"))
-    docs = part.groupBy("n_regionkey").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("n_nationkey", "t"))), lambda x: x["t"]), "\n").alias("text"))
-    segs = legal.segments(docs.select(F.col("n_regionkey").cast("string").alias("doc_id"), "text")).where("type = 'article'")
+    key = F.col("s_suppkey").cast("string")
+    chapter = F.concat(F.lit("CHAPTER "), F.get(roman, F.col("n_nationkey")), F.lit("\n"), "n_name")
+    text = F.concat(F.lit("lead\nArticle 0\nTitle\nbody\nCHAPTER L\nFirst\nArticle 1\nTitle\nbody\n"), chapter, F.lit("\nArticle "), key, F.lit("a\nTitle\nbody\nANNEX I\nA\nb\nArticle "), key, F.lit("b\nTitle\nbody"))
+    segs = legal.segments(s.join(n, s["s_nationkey"] == n["n_nationkey"]).select(key.alias("doc_id"), text.alias("text"))).where("type = 'article'")
     return segs.select("doc_id", "number", F.col("chapter.number").alias("chapter_number"), F.col("chapter.title").alias("chapter_title"))
 
 
 QUERIES["chapter_asof"] = chapter_asof
-ORACLES["chapter_asof"] = """SELECT CAST(n_regionkey AS VARCHAR) AS doc_id, CAST(s_suppkey AS VARCHAR) AS number,
-(['I', 'II', 'III', 'IV', 'V', 'VI', 'VII', 'VIII', 'IX', 'X', 'XI', 'XII', 'XIII', 'XIV', 'XV', 'XVI', 'XVII', 'XVIII', 'XIX', 'XX', 'XXI', 'XXII', 'XXIII', 'XXIV', 'XXV'])[n_nationkey + 1] AS chapter_number,
-n_name AS chapter_title FROM nation JOIN supplier ON s_nationkey = n_nationkey"""
+ORACLES["chapter_asof"] = """WITH s AS (SELECT CAST(s_suppkey AS VARCHAR) AS k, n_nationkey, n_name FROM nation JOIN supplier ON s_nationkey = n_nationkey),
+a AS (SELECT k, unnest([{'n': '0', 'own': 0}, {'n': '1', 'own': 1}, {'n': k || 'a', 'own': 2}, {'n': k || 'b', 'own': 2}]) AS r, n_nationkey, n_name FROM s)
+SELECT k AS doc_id, r.n AS number, CASE r.own WHEN 1 THEN 'L' WHEN 2 THEN
+(['I', 'II', 'III', 'IV', 'V', 'VI', 'VII', 'VIII', 'IX', 'X', 'XI', 'XII', 'XIII', 'XIV', 'XV', 'XVI', 'XVII', 'XVIII', 'XIX', 'XX', 'XXI', 'XXII', 'XXIII', 'XXIV', 'XXV'])[n_nationkey + 1] END AS chapter_number,
+CASE r.own WHEN 1 THEN 'First' WHEN 2 THEN n_name END AS chapter_title FROM a"""
+
+
+def annex_items(spark: SparkSession, d: str) -> DataFrame:
+    """Numbered items of annexes made from orders, with the references of each and of the annex's intro."""
+    body = F.array_join(F.transform("ls", lambda x: F.concat(x["n"].cast("string"), F.lit(". Part "), x["p"].cast("string"), F.lit(": see Article "), x["q"].cast("string"), F.lit("(2)"))), "\n")
+    key = F.col("l_orderkey").cast("string")
+    text = F.concat(F.lit("ANNEX IV\nGoods\nUnder Article "), key, F.lit("(1), point (b):\n"), body)
+    e = legal.elements(_lines(spark, d).select(key.alias("doc_id"), text.alias("text"))).select("doc_id", "id", "parsed.intro", "parsed.references", F.explode("parsed.items").alias("i"))
+    ref = F.get("i.references", F.lit(0))
+    return e.select("doc_id", "id", "intro", F.get("references", F.lit(0))["target"].alias("intro_target"), F.get("references", F.lit(0))["point"].alias("intro_point"), F.col("i.index").cast("bigint").alias("index"), "i.number", "i.category", "i.text", ref["target"].alias("target"), ref["paragraph"].alias("paragraph"))
+
+
+QUERIES["annex_items"] = annex_items
+ORACLES["annex_items"] = f"""{_LINES} SELECT CAST(l_orderkey AS VARCHAR) AS doc_id, l_orderkey || ':annex4' AS id, 'Under Article ' || l_orderkey || '(1), point (b):' AS intro, CAST(l_orderkey AS VARCHAR) AS intro_target, 'b' AS intro_point,
+n AS index, CAST(n AS VARCHAR) AS number, 'Part ' || l_partkey AS category, 'Part ' || l_partkey || ': see Article ' || q || '(2)' AS text, CAST(q AS VARCHAR) AS target, '2' AS paragraph FROM l"""
+
+
+def nested_item(spark: SparkSession, d: str) -> DataFrame:
+    """Items with lettered subpoints and notes, in texts made from orders."""
+    body = F.array_join(F.transform("ls", lambda x: F.concat(x["n"].cast("string"), F.lit(". Kind "), x["p"].cast("string"), F.lit(": (a) box "), x["q"].cast("string"), F.lit(" unless dry; (b) bag"))), " ")
+    i = _lines(spark, d).select("l_orderkey", F.explode(K.numbered_items(body)).alias("i")).select("l_orderkey", "i.number", "i.category", "i.intro", F.explode("i.subpoints").alias("s"))
+    return i.select("l_orderkey", "number", "category", "intro", F.col("s.label").alias("label"), F.col("s.text").alias("text"), F.col("s.note").alias("note"))
+
+
+QUERIES["nested_item"] = nested_item
+ORACLES["nested_item"] = f"""{_LINES}, i AS (SELECT l_orderkey, CAST(n AS VARCHAR) AS number, 'Kind ' || l_partkey AS category, 'Kind ' || l_partkey || ':' AS intro, q FROM l)
+SELECT l_orderkey, number, category, intro, 'a' AS label, 'box ' || q AS text, 'unless dry;' AS note FROM i UNION ALL SELECT l_orderkey, number, category, intro, 'b', 'bag', NULL FROM i"""
+
+
+def unnumbered_article(spark: SparkSession, d: str) -> DataFrame:
+    """Paragraphs and points of articles without numbers, made from orders; the last point's text is given twice."""
+    body = F.array_join(F.transform("ls", lambda x: F.concat(F.lit("("), _letter(x["n"]), F.lit(") lot "), x["q"].cast("string"), F.lit(";"))), "\n")
+    key = F.col("l_orderkey").cast("string")
+    docs = _lines(spark, d).select(key.alias("doc_id"), F.concat(F.lit("Article 3\nT\nGoods are:\n"), body).alias("text"))
+    p = legal.elements(docs).select("doc_id", F.explode("parsed.paragraphs").alias("p")).select("doc_id", F.col("p.index").cast("bigint").alias("index"), "p.text", F.explode_outer("p.points").alias("x"))
+    return p.select("doc_id", "index", "text", F.col("x.label").alias("label"), F.col("x.text").alias("point"))
+
+
+QUERIES["unnumbered_article"] = unnumbered_article
+ORACLES["unnumbered_article"] = f"""{_LINES}, m AS (SELECT l_orderkey, max(n) AS most FROM l GROUP BY 1)
+SELECT CAST(l_orderkey AS VARCHAR) AS doc_id, 1::BIGINT AS index, 'Goods are:' AS text, NULL AS label, NULL AS point FROM m
+UNION ALL SELECT CAST(l_orderkey AS VARCHAR), 2, NULL, chr(CAST(96 + n AS INTEGER)), CASE WHEN n = most THEN 'lot ' || q || '; lot ' || q || ';' ELSE 'lot ' || q || ';' END FROM l JOIN m USING (l_orderkey)"""
+
+
+def sidecar_chunks(spark: SparkSession, d: str) -> DataFrame:
+    """Chunks of a text made for every sidecar, parsed as its declared type says and under its title."""
+    meta = current_metadata(spark.read.parquet(f"{d}/metadata.parquet"))
+    docs = meta.select("doc_id", F.concat(F.lit("Article 1\nT\nbody of "), "doc_id").alias("text")).where("doc_id is not null")
+    c = pipeline.document_chunks(docs, meta)
+    return c.select("doc_id", "doc_title", "element_id", "element_type", "chunk_id", "text")
+
+
+QUERIES["sidecar_chunks"] = sidecar_chunks
+ORACLES["sidecar_chunks"] = """WITH m AS (SELECT * FROM metadata WHERE doc_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY revision DESC NULLS LAST, loaded_at DESC NULLS LAST) = 1),
+t AS (SELECT *, CASE WHEN extra['structure_type'] IN ('legal', 'generic') THEN extra['structure_type'] = 'legal' ELSE coalesce(lower(source_type) IN ('regulation', 'directive', 'decision', 'legal', 'law', 'act'), false) END AS law FROM m)
+SELECT doc_id, title AS doc_title, doc_id || CASE WHEN law THEN ':art1' ELSE ':sec1' END AS element_id, CASE WHEN law THEN 'article' ELSE 'section' END AS element_type,
+doc_id || CASE WHEN law THEN ':art1#1' ELSE ':sec1#1' END AS chunk_id, CASE WHEN law THEN 'body of ' || doc_id ELSE 'Article 1 T body of ' || doc_id END AS text FROM t"""
 
 
 def section_paths(spark: SparkSession, d: str) -> DataFrame:
@@ -341,6 +400,17 @@ def chunk_stats(spark: SparkSession, d: str) -> DataFrame:
     return C.chunks(_elements(spark, d)).groupBy("doc_id").agg(F.count("*").alias("chunks"), F.sum(F.length("text")).alias("chars"), F.max(F.length("text")).alias("longest"))
 
 
+def document_totals(spark: SparkSession, d: str) -> DataFrame:
+    """Elements and blocks of articles made from orders: one document an order, an article and a block or more for each line."""
+    part = F.array_join(F.transform("ls", lambda x: F.concat(F.lit("Article "), x["n"].cast("string"), F.lit("\nT\n1. Lot "), x["q"].cast("string"), F.lit("\n2. Part "), x["p"].cast("string"))), "\n")
+    docs = _lines(spark, d).where(F.size("ls") >= 3).select(F.col("l_orderkey").cast("string").alias("doc_id"), part.alias("text"))
+    return pipeline.document_totals(pipeline.elements(docs))
+
+
+QUERIES["document_totals"] = document_totals
+ORACLES["document_totals"] = f"{_LINES} SELECT CAST(l_orderkey AS VARCHAR) AS doc_id, count(*) AS elements, 2 * count(*) AS blocks FROM l GROUP BY l_orderkey HAVING count(*) >= 3"
+
+
 def document_references(spark: SparkSession, d: str) -> DataFrame:
     """References in the blocks of all documents."""
     return legal.element_references(_elements(spark, d))

@@ -6,10 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import generic, legal
-from ..operators.chunks import MAX_CHARS, chunks
-from ..operators.metadata import routed
-from ..operators.pipeline import _COMMON, cleaned
+from ..operators.chunks import MAX_CHARS
+from ..operators.pipeline import document_chunks
 
 
 def document_stream(spark: SparkSession, directory: str, schema: str = "doc_id string, text string", max_files: int = 1000) -> DataFrame:
@@ -19,10 +17,7 @@ def document_stream(spark: SparkSession, directory: str, schema: str = "doc_id s
 
 def chunk_stream(docs: DataFrame, max_chars: int = MAX_CHARS) -> DataFrame:
     """Chunks of a stream of documents."""
-    df = routed(cleaned(docs.withColumn("doc_id", F.col("doc_id").cast("string"))))
-    law = legal.elements(df.where("structure_type = 'legal'")).select(*_COMMON)
-    rest = generic.sections(df.where("structure_type = 'generic'")).select(*_COMMON)
-    return chunks(law.unionByName(rest), None, max_chars)
+    return document_chunks(docs.withColumn("doc_id", F.col("doc_id").cast("string")), max_chars=max_chars)
 
 
 def ingest(docs: DataFrame, out: str, checkpoint: str) -> StreamingQuery:

@@ -91,6 +91,7 @@ LEGAL = {
     "F14": "lost\nCHAPTER I\nGENERAL\nArticle 1\nT1\nb1\nANNEX II\nAT\ntext\nArticle 2\nT2\nb2",
     "F15": "ANNEX I\nT\nIntro (Article 5(1), first subparagraph):\n— one — two", "F18": "Article 9\nEnd\nText. Done at Brussels, 13 June 2024. For the European Parliament The President R. METSOLA",
     "sections": "ANNEX IV\nT\nSection A. First\n1. one\n2. two\nSection B. Second\nnothing", "table": "Article 7\nX\nbody\n|a|b|\n|---|---|\n|1|2|\nmore", "none": None, "empty": "",
+    "refs": "Article 1\nT\n1. head: (a) as in Article 3(2): (i) by Article 4; (ii) by Chapter V; (b) none\nANNEX II\nT\n1. see Chapter III Section 4\n2. Directive 2006/42/EC of 17 May 2006 on machinery\n3. Kind: (a) main unless Article 9 applies; (b) more",
 }
 
 
@@ -116,7 +117,19 @@ def test_chapters_and_annexes(parsed):
     assert [(parsed["F14", n].id, parsed["F14", n].chapter and tuple(parsed["F14", n].chapter)) for n in (1, 2, 3)] == [("F14:art1", ("I", "GENERAL")), ("F14:annex2", None), ("F14:art2", ("I", "GENERAL"))]
     assert parsed["F14", 2].parsed.text == "text"
     assert parsed["F15", 1].parsed.intro.startswith("Intro") and [i.text for i in parsed["F15", 1].parsed["items"]] == ["one", "two"]
+    assert [(r.type, r.target, r.paragraph, r.subparagraph) for r in parsed["F15", 1].parsed.references] == [("article", "5", "1", "first")]
     assert [(s.label, len(s["items"])) for s in parsed["sections", 1].parsed.sections] == [("A", 2), ("B", 0)]
+    assert [i["index"] for i in parsed["sections", 1].parsed.sections[0]["items"]] == [1, 2] and parsed["sections", 1].parsed.references is None
+
+
+def test_references_and_acts_in_the_tree(parsed):
+    refs = lambda x: [(r.type, r.target, r.paragraph) for r in x.references or []]
+    p = parsed["refs", 1].parsed.paragraphs[0].points
+    assert [refs(x) for x in p] == [[("article", "3", "2"), ("article", "4", None), ("chapter", "V", None)], []] and [refs(s) for s in p[0].subpoints] == [[("article", "4", None)], [("chapter", "V", None)]]
+    a, b, c = parsed["refs", 2].parsed["items"]
+    assert refs(a) == [("section", "III.4", None)] and a.cited_act is None
+    assert (b.cited_act.identifier, str(b.cited_act.date), b.cited_act.short_title) == ("2006/42/EC", "2006-05-17", "machinery") and b.references is None
+    assert c.references is None and c.cited_act is None and [refs(s) for s in c.subpoints] == [[("article", "9", None)], []] and c.subpoints[0].note == "unless Article 9 applies"
 
 
 def test_packing(spark):

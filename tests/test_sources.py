@@ -93,6 +93,30 @@ def test_vectors(spark):
     assert nearest(df.where("false"), df, 3).count() == 0
 
 
+def test_jobs(spark, tmp_path, capsys):
+    (tmp_path / "in").mkdir()
+    law = "CHAPTER I\nGeneral\nArticle 1\nScope\n1. As in Article 2(1): (a) one; (b) two"
+    for name, text in (("My Law", law), ("note", "# H\n- x\n- y"), ("other", "plain")):
+        (tmp_path / f"in/{name}.txt").write_text(text)
+    (tmp_path / "in/My Law.meta.json").write_text('{"title": "The Law", "celex": "C1", "structure_type": "legal"}')
+    (tmp_path / "in/note.meta.json").write_text('{"doc_id": "n1", "title": "Note"}')
+    common = ["--input", str(tmp_path / "in/*.txt"), "--format", "text", "--sidecars", str(tmp_path / "in/*.meta.json")]
+    assert jobs.main(["structure", "--output", str(tmp_path / "s"), *common]) == 0
+    assert "1 documents have no sidecar" in capsys.readouterr().out
+    got = {(r.structure_type, r.instrument and r.instrument.celex): r.elements for r in spark.read.schema(files.STRUCTURE).json(str(tmp_path / "s")).collect()}
+    article = got["legal", "C1"][0]
+    assert article.id == "the-law:art1" and article.chapter.title == "General" and [b.type for b in article.blocks] == ["paragraph", "list"]
+    assert [p.label for p in article.paragraphs[0].points] == ["a", "b"] and ("generic", None) in got
+    assert jobs.main(["chunk", "--output", str(tmp_path / "c"), *common]) == 0
+    assert {(r.doc_title, r.chunk_id) for r in spark.read.json(str(tmp_path / "c")).collect()} == {("The Law", "the-law:art1#1"), ("Note", "n1:sec1#1"), ("other", "other:sec1#1")}
+    assert jobs.main(["generic", "--stem", "note", "--output", str(tmp_path / "g"), *common[:4]]) == 0
+    assert [r.elements[0].id for r in spark.read.json(str(tmp_path / "g")).collect()] == ["note:sec1"]
+    assert jobs.main(["legal", "--stem", "My Law", "--output", str(tmp_path / "l"), *common[:4]]) == 0
+    assert [r.elements[0].id for r in spark.read.json(str(tmp_path / "l")).collect()] == ["My Law:art1"]
+    assert jobs.main(["convert", "--provider", "text", "--stem", "note", "--input", str(tmp_path / "in"), "--output", str(tmp_path / "v")]) == 0
+    assert [(r.doc_id, r.text) for r in spark.read.parquet(str(tmp_path / "v/documents")).collect()] == [("note", "\n--- PAGE 1 ---\n# H\n- x\n- y\n")]
+
+
 def test_jobs_and_catalogue(capsys):
     assert jobs.main(["providers"]) == 0 and "option3" in capsys.readouterr().out
     assert set(catalogue.oracle_sql()) <= set(catalogue.queries())
