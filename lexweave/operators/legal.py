@@ -326,7 +326,12 @@ def _expressions(fix_last_point: bool) -> tuple[Column, ...]:
     rest = F.slice("prose", 2, F.greatest(F.size("prose") - 1, F.lit(0)))
     article = parse_article(normalize_text(F.array_join(rest, " ")), fix_last_point)
     parsed = F.when(F.col("type") == "article", article).when(F.size("prose") < 2, _parsed()).otherwise(parse_annex(rest))
-    return parsed, with_references(F.col("parsed"), F.col("type") == "annex"), let(F.col("parsed"), lambda p: element_blocks(p, F.col("tables")))
+    return parsed, let(F.col("parsed"), lambda p: element_blocks(p, F.col("tables")))
+
+
+@built_once
+def _referring() -> tuple[Column, ...]:
+    return (with_references(F.col("parsed"), F.col("type") == "annex"),)
 
 
 def elements(docs: DataFrame, fix_last_point: bool = False) -> DataFrame:
@@ -335,20 +340,21 @@ def elements(docs: DataFrame, fix_last_point: bool = False) -> DataFrame:
     return parsed_parts(segments(docs).withColumns({c: _null(t) for c, t in none.items()}), fix_last_point)
 
 
-def parsed_parts(df: DataFrame, fix_last_point: bool = False) -> DataFrame:
+def parsed_parts(df: DataFrame, fix_last_point: bool = False, tree: bool = True) -> DataFrame:
     """Elements from parts (doc_id, seq, type, number, chapter, lines, level, title, path, blocks); other columns are kept.
 
-    Articles and annexes are parsed from their lines; sections come with title, path and blocks and have no tree.
+    Articles and annexes are parsed from their lines; sections come with title, path and blocks and have no tree. Who needs
+    only the blocks may leave out the ``tree``, whose column ``parsed`` has the references.
     """
     law = F.col("type") != "section"
     prose = F.filter("lines", lambda x: ~x.startswith("|"))
     tables = F.filter("lines", lambda x: x.startswith("|"))
     tail = F.when(F.col("type") == "article", F.concat(F.lit("art"), "number")).when(law, F.concat(F.lit("annex"), roman_to_int(F.col("number")).cast("string"))).otherwise(F.concat(F.lit("sec"), F.col("seq").cast("string")))
     df = df.withColumns({"id": F.concat("doc_id", F.lit(":"), tail), "prose": prose, "tables": tables}).drop("lines")
-    parsed, referring, blocks = _expressions(fix_last_point)
+    parsed, blocks = _expressions(fix_last_point)
     df = df.withColumns({"title": F.when(law, normalize_text(F.get("prose", F.lit(0)))).otherwise(F.col("title")), "parsed": F.when(law, parsed)})
     df = df.withColumn("blocks", with_ids(F.when(law, blocks).otherwise(F.col("blocks")), F.col("id")))
-    return df.withColumn("parsed", referring).drop("prose", "tables")
+    return df.withColumn("parsed", _referring()[0] if tree else F.lit(None).cast(PARSED)).drop("prose", "tables")
 
 
 def element_references(df: DataFrame) -> DataFrame:

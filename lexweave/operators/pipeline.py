@@ -35,9 +35,11 @@ def with_sidecars(docs: DataFrame, metadata: DataFrame) -> DataFrame:
     return df.select(*(f"`{c}`" for c in docs.columns), F.col("title").alias("doc_title"), "source_type", explicit.alias("explicit"), "placeholder")
 
 
-def elements(docs: DataFrame) -> DataFrame:
+def elements(docs: DataFrame, tree: bool = True) -> DataFrame:
     """Elements of cleaned documents, each document by the parser that fits it; ``doc_title`` is kept if there is one.
 
+    Without ``tree`` the column ``parsed`` is null.
+
     One pass: a document is cut up by its own parser, its parts are generated once, and each is parsed where it stands.
     """
     df = routed(docs)
@@ -49,12 +51,12 @@ def elements(docs: DataFrame) -> DataFrame:
     from_law = F.transform("parts", lambda p, i: F.struct(i + 1, p["type"], p["number"], p["chapter"], p["lines"], *no("level", "title", "path", "blocks"))).cast(_PART)
     from_rest = F.transform("sections", lambda x, i: F.struct(i + 1, F.lit("section"), *no("number", "chapter", "lines"), x["level"], x["title"], x["path"], x["blocks"])).cast(_PART)
     parts = df.select("doc_id", *kept, F.explode(F.coalesce(from_law, from_rest)).alias("p")).select("doc_id", *kept, "p.*")
-    return legal.parsed_parts(parts).select(*_COMMON, *kept)
+    return legal.parsed_parts(parts, tree=tree).select(*_COMMON, *kept)
 
 
 def document_chunks(docs: DataFrame, metadata: DataFrame | None = None, max_chars: int = MAX_CHARS) -> DataFrame:
     """Chunks of raw documents (doc_id string, text); with current sidecars, by their declared types and with their titles."""
-    return chunks(elements(cleaned(docs if metadata is None else with_sidecars(docs, metadata))), max_chars=max_chars)
+    return chunks(elements(cleaned(docs if metadata is None else with_sidecars(docs, metadata)), tree=False), max_chars=max_chars)
 
 
 def document_totals(elements_df: DataFrame) -> DataFrame:

@@ -368,7 +368,7 @@ ORACLES["chunks_packed"] = _chunk_oracle()
 
 
 def _elements(spark: SparkSession, d: str) -> DataFrame:
-    return pipeline.elements(pipeline.cleaned(_docs(spark, d)))
+    return pipeline.elements(pipeline.cleaned(_docs(spark, d)), tree=False)
 
 
 def legal_elements(spark: SparkSession, d: str) -> DataFrame:
@@ -404,7 +404,7 @@ def document_totals(spark: SparkSession, d: str) -> DataFrame:
     """Elements and blocks of articles made from orders: one document an order, an article and a block or more for each line."""
     part = F.array_join(F.transform("ls", lambda x: F.concat(F.lit("Article "), x["n"].cast("string"), F.lit("\nT\n1. Lot "), x["q"].cast("string"), F.lit("\n2. Part "), x["p"].cast("string"))), "\n")
     docs = _lines(spark, d).where(F.size("ls") >= 3).select(F.col("l_orderkey").cast("string").alias("doc_id"), part.alias("text"))
-    return pipeline.document_totals(pipeline.elements(docs))
+    return pipeline.document_totals(pipeline.elements(docs, tree=False))
 
 
 QUERIES["document_totals"] = document_totals

@@ -114,7 +114,7 @@ def test_jobs(spark, tmp_path, capsys):
     assert jobs.main(["legal", "--stem", "My Law", "--output", str(tmp_path / "l"), *common[:4]]) == 0
     assert [r.elements[0].id for r in spark.read.json(str(tmp_path / "l")).collect()] == ["My Law:art1"]
     assert jobs.main(["convert", "--provider", "text", "--stem", "note", "--input", str(tmp_path / "in"), "--output", str(tmp_path / "v")]) == 0
-    assert [(r.doc_id, r.text) for r in spark.read.parquet(str(tmp_path / "v/documents")).collect()] == [("note", "\n--- PAGE 1 ---\n# H\n- x\n- y\n")]
+    assert [(r.doc_id, r.text) for r in spark.read.parquet(str(tmp_path / "v/documents")).collect()] == [("note", "\n--- PAGE 1 ---\n# H\n- x\n- y")]
 
 
 def test_jobs_and_catalogue(capsys):
