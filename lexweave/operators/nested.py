@@ -304,30 +304,37 @@ def _walk(value: Any, role: str, parent: str, out: list[tuple], record: str) ->
 
 
 def raw_nodes(raw: DataFrame) -> DataFrame:
-    """Nodes of raw JSON bodies; ``raw`` has doc_id, volume and body. Redelivered bodies repeat their nodes."""
+    """Nodes of raw JSON bodies; ``raw`` has doc_id, volume and body. Redelivered bodies repeat their nodes.
+
+    ``delivered`` is when a node's body came: received_at and raw_id, where there are such columns.
+    """
     import pyarrow as pa
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    ddl = NODE_WIDE
+    ddl = f"{NODE_WIDE}, delivered string"
     schema = to_arrow_schema(StructType.fromDDL(ddl))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
-            for record, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for record, body, delivered in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                at = len(rows)
                 try:
                     tree = _loads(body or "")
                 except ValueError:
                     continue
                 if isinstance(tree, dict):
                     _walk(tree.get("elements"), "element", record, rows, record)
+                rows[at:] = [(*row, delivered) for row in rows[at:]]
                 if len(rows) > 20_000:
                     yield from _batches(rows, schema)
                     rows = []
             yield from _batches(rows, schema)
 
     record = F.concat_ws("|", F.coalesce("doc_id", F.lit("")), F.coalesce(F.col("volume").cast("string"), F.lit("")))
-    return raw.select(record.alias("record"), "body").mapInArrow(run, ddl)
+    order = [F.lpad(F.coalesce(F.unix_micros(F.col("received_at").cast("timestamp")), F.lit(0)).cast("string"), 20, "0")] if "received_at" in raw.columns else []
+    order += [F.lpad(F.col("raw_id").cast("string"), 20, "0")] if "raw_id" in raw.columns else []
+    return raw.select(record.alias("record"), "body", F.concat_ws("|", *order).alias("delivered")).mapInArrow(run, ddl)
 
 
 def _batches(rows: list[tuple], schema: Any) -> Iterator[Any]:
@@ -342,8 +349,14 @@ def _batches(rows: list[tuple], schema: Any) -> Iterator[Any]:
 
 
 def nodes(current: DataFrame, raw: DataFrame) -> DataFrame:
-    """The supertype table: every node with its parent, role, place, variant and common fields, each child_id once."""
-    extra = raw_nodes(raw).dropDuplicates(["child_id"])
+    """The supertype table: every node with its parent, role, place, variant and common fields.
+
+    A node that several raw bodies give is that of the body delivered last. The two sources hold different records; a
+    record in both would have the nodes of both.
+    """
+    found = raw_nodes(raw)
+    rest = [c for c in found.columns if c not in ("child_id", "delivered")]
+    extra = found.groupBy("child_id").agg(*(F.max_by(c, "delivered").alias(c) for c in rest))
     return typed_nodes(current).unionByName(extra)
 
 

@@ -103,6 +103,13 @@ def test_current_rows_move_no_payload(spark, tmp_path):
     assert current_rows(df.where("k > 1000"), ["k"], ["o"]).count() == 0
 
 
+def test_the_body_delivered_last_counts(spark):
+    bodies = [(n, "r", 1, json.dumps({"elements": [{"type": "article", "title": t}] * k}), at) for n, t, k, at in ((1, "late", 1, "2024-02-01"), (2, "early", 2, "2024-01-01"), (3, "tie", 1, "2023-01-01"), (4, "last", 1, "2024-02-01"))]
+    raw = spark.createDataFrame(bodies, "raw_id bigint, doc_id string, volume int, body string, received_at string")
+    got = {r.child_id: r.title for r in nested.nodes(typed(spark, RECORDS).where("false"), raw).collect()}
+    assert got == {"r|1/e1": "last", "r|1/e2": "early"}
+
+
 def test_links_are_read_from_the_subtype_tables(spark, monkeypatch):
     bodies = [(f"raw-{d}", v, json.dumps({"elements": es})) for d, v, _, es in RECORDS]
     both = typed(spark, RECORDS), spark.createDataFrame(bodies, "doc_id string, volume int, body string")
