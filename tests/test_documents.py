@@ -129,7 +129,7 @@ def test_references_and_acts_in_the_tree(parsed):
     a, b, c = parsed["refs", 2].parsed["items"]
     assert refs(a) == [("section", "III.4", None)] and a.cited_act is None
     assert (b.cited_act.identifier, str(b.cited_act.date), b.cited_act.short_title) == ("2006/42/EC", "2006-05-17", "machinery") and b.references is None
-    assert c.references is None and c.cited_act is None and [refs(s) for s in c.subpoints] == [[("article", "9", None)], []] and c.subpoints[0].note == "unless Article 9 applies"
+    assert c.references is None and c.cited_act is None and [refs(s) for s in c.subpoints] == [[("article", "9", None)], []] and c.subpoints[0].note == "unless Article 9 applies;"
 
 
 def test_packing(spark):
