@@ -197,7 +197,13 @@ class Items:
     def enough(self, words: Words, bounds: tuple[int, int], items: list[int]) -> list[int]:
         """Of ``items`` those of whose own words the document's words ``bounds`` hold, in any order, at least the share."""
         h, first = np.unique(words.hash[bounds[0] : bounds[1]], return_index=True)
-        near = [g for i in first.tolist() for g in self.like(words, bounds[0] + i)]
+        near: list[int] = []
+        for g, i in zip(h.tolist(), first.tolist(), strict=True):
+            like = self.memo.get(g)
+            if like is None:
+                like = self.like(words, bounds[0] + i)
+            if like:
+                near += like
         held = np.unique(np.concatenate([h, np.array(near, np.uint64)]))
         own = np.concatenate([self.own[k] for k in items])
         there = held[np.minimum(np.searchsorted(held, own), len(held) - 1)] == own
@@ -222,6 +228,8 @@ class Items:
             equal = None
         else:
             equal = self._equal(words, item, at, 0, n)
+            if equal.any(axis=1).sum() < SHARE * n:
+                return 0.0, 0
             best = lambda low, high, j0, j1: _shifted(_align(equal[low:high, j0:j1])[1], low, j0)
         first = best(0, n, 0, len(at))
         if not first:
