@@ -197,6 +197,7 @@ def build_filename(url: Column, extension: Column) -> Column:
     return F.concat(F.coalesce(F.nullif(stem, F.lit("")), F.lit("downloaded_document")), extension)
 
 
+# Fixed value: marks of text read from pictures.
 PICTURE_TEXT = rf"(?s)<!--[{WS}]*Start of picture text[{WS}]*-->.*?<!--[{WS}]*End of picture text[{WS}]*-->"
 
 
@@ -230,6 +231,7 @@ def category_heading(prefix: Column, normal: bool = False) -> Column:
     return let(text, lambda p: let(strip(F.rtrim(p, F.lit(":"))), lambda b: let(strip(F.regexp_extract(b, comma, 1)), lambda h: build(p, b, h))))
 
 
+# Fixed value: the openers of notes.
 NOTE = rf"(?i)[{WS}]+(?=(?:This[{WS}]+(?:shall|does)[{WS}]+not[{WS}]+(?:include|apply)|except[{WS}]+that|except[{WS}]+where|provided[{WS}]+that|unless)\b)"
 
 
