@@ -33,7 +33,7 @@ def _reference(kind: str, target: Column, *rest: Column) -> Column:
 REFERENCES = "array<struct<type:string,target:string,paragraph:string,subparagraph:string,point:string,subpoint:string>>"
 ACT = "struct<kind:string,identifier:string,date:date,short_title:string,oj_reference:string>"
 
-_CUT, _END = "\x01", "\x02"
+_CUT = "\x01"
 
 
 def _groups(match: Column, pattern: str, n: int) -> Column:
@@ -42,12 +42,8 @@ def _groups(match: Column, pattern: str, n: int) -> Column:
 
 
 def _all_groups(text: Column, pattern: str, n: int) -> Column:
-    """The groups of every match in a text, from one scan that puts them in place of all that stands before and between.
-
-    Group 1 must not be empty. A group that took no part is empty.
-    """
-    cut = F.split(F.regexp_replace(text, rf"(?s).*?(?:{pattern}|\z)", _END + _CUT.join(f"${k}" for k in range(1, n + 1))), _END, -1)
-    return F.filter(F.transform(cut, lambda r: F.split(r, _CUT, -1)), lambda g: F.get(g, F.lit(0)) != "")
+    """The groups of every match in a text; a group that took no part is empty."""
+    return F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: _groups(m, pattern, n))
 
 
 def references(text: Column) -> Column:
