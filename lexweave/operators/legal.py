@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
-from ..functions import markers as M
-from ..functions.refs import ACT, REFERENCES, cited_act, references
+from ..functions import trees
+from ..functions.refs import ACT, REFERENCES, references
 from ..functions.textnorm import ANNEX_LINE, ARTICLE_LINE, CHAPTER_LINE, SECTION_LINE, WS, built_once, clean_line, let, long_date, normalize_text, roman_to_int, split_lines, strip
 from .generic import with_ids
 from .tables import BLOCK, make_block, parse_table
@@ -57,148 +62,38 @@ def parse_closing(body: Column) -> Column:
     return let(F.split(body, DONE_AT, 2), build)
 
 
-def _points(points: Column) -> Column:
-    """Points in their type; references come later (:func:`with_references`)."""
-    none = _null(REFERENCES)
-    sub = lambda x: F.struct(x["label"].alias("label"), x["text"].alias("text"), none.alias("references"))
-    one = lambda p: F.struct(p["label"].alias("label"), p["text"].alias("text"), F.transform(p["subpoints"], sub).alias("subpoints"), none.alias("references"))
-    return F.transform(points, one).cast(f"array<{_POINT}>")
-
-
-def _paragraph(index: Column, number: Column, intro: Column, text: Column, points: Column) -> Column:
-    return F.struct(index.cast("int").alias("index"), number.alias("number"), intro.alias("intro"), text.alias("text"), _points(points).alias("points"))
-
-
-def numbered_paragraphs(entries: Column) -> Column:
-    """Paragraphs of ``1. ... 2. ...``: text, or intro and points."""
+@lru_cache(maxsize=1)
+def _grammar() -> tuple:
+    return tuple(map(trees.compiled, (DONE_AT, SIGNATURE, AFTER_LIST)))
 
-    def one(e: Column, i: Column) -> Column:
-        return let(M.normal_points(e["text"]), lambda p: let(F.size(p["points"]) > 0, lambda some: _paragraph(
-            i + 1, e["label"], F.when(some & (p["intro"] != ""), p["intro"]), F.when(~some, e["text"]), F.when(some, p["points"]))))
 
-    return F.transform(entries, one)
+def _tree_batch(kind: pa.DataType, fix_last_point: bool, refer: bool, types: pa.Array, proses: pa.Array) -> pa.Array:
+    out: list[dict | None] = []
+    for what, lines in zip(types.to_pylist(), proses.to_pylist(), strict=True):
+        if what not in ("article", "annex"):
+            out.append(None)
+            continue
+        annex = what == "annex"
+        tree = trees.article(lines[1:], _grammar(), fix_last_point) if not annex else trees.annex(lines[1:]) if len(lines) > 1 else trees.NOTHING
+        out.append(trees.refer(tree, annex) if refer else tree)
+    return pa.array(out, kind)
 
 
-def unnumbered_paragraphs(body: Column, fix_last_point: bool = False) -> Column:
-    """Paragraphs of a body without numbers.
+def parsed_tree(types: Column, prose: Column, fix_last_point: bool = False, refer: bool = True) -> Column:
+    """Trees of articles and annexes from their type and their lines, the title first; null for other types.
 
-    The last point's text ends the body and, as results are fixed to, is given twice; ``fix_last_point`` gives it once.
+    An article's are numbered paragraphs, else a definitions list, else unnumbered paragraphs, and the closing; an annex's
+    are lettered sections, else numbered items, else a dash list, else text. The last point of a body without numbers ends it
+    and, as results are fixed to, is given twice; ``fix_last_point`` gives it once. ``refer`` puts in references and cited
+    acts. It says it isn't deterministic, so that a filter on what follows from it does not parse once more.
     """
+    kind = to_arrow_type(StructType.fromDDL(PARSED.removeprefix("struct<")[:-1]))
 
-    def build(m: Column) -> Column:
-        none, no_points = _null("string"), _null("array<struct<label:string,text:string,subpoints:array<struct<label:string,text:string>>>>")
-        entries = F.transform(m["entries"], lambda e: F.struct(e["label"].alias("label"), strip(e["text"]).alias("text"), _null("array<struct<label:string,text:string>>").alias("subpoints")))
-
-        def with_points(es: Column) -> Column:
-            last = F.element_at(es, -1)
-            trailing = last["text"]
-            parts = F.split(trailing, AFTER_LIST, 2)
-            split_here = F.size(parts) == 2
-            more = F.when(split_here, F.concat(F.get(parts, F.lit(0)), F.lit(";"))).otherwise(trailing)
-            twice = trailing if fix_last_point else F.concat(trailing, F.lit(" "), more)
-            full = F.concat(F.slice(es, 1, F.greatest(F.size(es) - 1, F.lit(0))), F.array(last.withField("text", F.when(trailing == "", trailing).otherwise(twice))))
-            before = strip(m["intro"])
-            however = before.rlike(rf"(?i)(?:\A|[{WS}])However:[{WS}]*\z")
-            lead = strip(F.regexp_replace(before, rf"(?i)[{WS}]*However:[{WS}]*\z", ""))
-            plain = lambda t: F.array(_paragraph(F.lit(0), none, none, t, no_points))
-            nothing = F.array().cast(f"array<{_PARAGRAPH}>")
-            head = F.when(before == "", nothing).when(however & (lead == ""), nothing).when(however, plain(lead)).otherwise(plain(before))
-            listed = F.array(_paragraph(F.lit(0), none, F.when(however & (before != ""), F.lit("However:")), none, full))
-            rest = strip(F.get(parts, F.lit(1)))
-            tail = F.when(split_here & (rest != ""), plain(rest)).otherwise(nothing)
-            return F.transform(F.concat(head, listed, tail), lambda p, i: p.withField("index", (i + 1).cast("int")))
-
-        single = F.array(_paragraph(F.lit(1), none, none, body, no_points))
-        return F.when(body == "", F.array().cast(f"array<{_PARAGRAPH}>")).when(F.size(m["entries"]) == 0, single).otherwise(let(entries, with_points))
-
-    return let(M.lettered(body), build)
-
-
-def _items(items: Column) -> Column:
-    """Items in their type, numbered from 1; references and cited acts come later (:func:`with_references`)."""
-    sub = lambda x: F.struct(x["label"].alias("label"), x["text"].alias("text"), x["note"].alias("note"), _null(REFERENCES).alias("references"))
-    return F.transform(items, lambda n, i: F.struct(
-        (i + 1).cast("int").alias("index"), n["number"].alias("number"), _null("string").alias("label"), n["category"].alias("category"), n["intro"].alias("intro"), n["text"].alias("text"),
-        F.transform(n["subpoints"], sub).alias("subpoints"), _null(REFERENCES).alias("references"), _null(ACT).alias("cited_act"),
-    )).cast(f"array<{_ITEM}>")
-
-
-def _parsed(**fields: Column) -> Column:
-    kinds = {"intro": "string", "text": "string", "references": REFERENCES, "paragraphs": f"array<{_PARAGRAPH}>", "items": f"array<{_ITEM}>", "sections": f"array<{_SECTION}>", "closing": _CLOSING}
-    return F.struct(*(fields.get(k, F.lit(None)).cast(v).alias(k) for k, v in kinds.items()))
-
-
-def parse_article(body: Column, fix_last_point: bool = False) -> Column:
-    """Tree of an article's body: numbered paragraphs, else a definitions list, else unnumbered paragraphs; and the closing."""
-
-    def build(c: Column) -> Column:
-        text, closing = c["remaining"], c["closing"]
-
-        def choose(n: Column) -> Column:
-            loose = let(M.normal_paren_items(text), lambda p: F.when(F.size(p["items"]) > 0, _parsed(intro=p["intro"], items=_items(p["items"]), closing=closing)).otherwise(
-                _parsed(paragraphs=unnumbered_paragraphs(text, fix_last_point), closing=closing)))
-            stripped = F.transform(n["entries"], lambda e: e.withField("text", strip(e["text"])))
-            return F.when(F.size(n["entries"]) > 0, _parsed(paragraphs=numbered_paragraphs(stripped), closing=closing)).otherwise(loose)
-
-        return let(M.numbers(text), choose)
-
-    return let(parse_closing(body), build)
+    def run(t: pa.Array, p: pa.Array) -> pa.Array:
+        return _tree_batch(kind, fix_last_point, refer, t, p)
 
-
-def parse_annex(lines: Column) -> Column:
-    """Tree of an annex's lines after its title: lettered sections, else numbered items, else a dash list, else text."""
-    body = normalize_text(F.array_join(lines, " "))
-    cut = rf"(?dmi)(?=^Section[{WS}&&[^\n]]+[A-Z]\.[^\n]*\S)"
-    parts = F.filter(F.split(F.array_join(lines, "\n"), cut, -1), lambda s: F.regexp_extract(s, r"\A[^\n]*", 0).rlike(SECTION_LINE))
-
-    def section(s: Column) -> Column:
-        first = F.regexp_extract(s, r"\A[^\n]*", 0)
-        text = normalize_text(F.regexp_replace(F.regexp_replace(s, r"\A[^\n]*\n?", ""), "\n", " "))
-        return F.struct(F.upper(F.regexp_extract(first, SECTION_LINE, 1)).alias("label"), normalize_text(F.regexp_extract(first, SECTION_LINE, 2)).alias("title"), _items(M.normal_items(text)).alias("items"))
-
-    def numbered(t: Column) -> Column:
-        def build(n: Column) -> Column:
-            kept = F.filter(F.transform(n["entries"], lambda e: e.withField("text", strip(e["text"]))), lambda e: e["text"] != "")
-            items = F.transform(kept, lambda e: M.nested_item(e["label"], e["text"]))
-            return F.when(F.size(n["entries"]) > 0, _parsed(intro=F.nullif(strip(n["intro"]), F.lit("")), items=_items(items))).otherwise(let(M.marked(t, M.DASH, None), dashed))
-
-        def dashed(m: Column) -> Column:
-            texts = F.filter(F.transform(m["entries"], lambda e: strip(e["text"])), lambda x: x != "")
-            items = F.transform(texts, lambda x: F.struct(_null("string").alias("number"), _null("string").alias("category"), _null("string").alias("intro"), x.alias("text"), _null("array<struct<label:string,text:string,note:string>>").alias("subpoints")))
-            return F.when(F.size(m["entries"]) > 0, _parsed(intro=F.nullif(strip(m["intro"]), F.lit("")), items=_items(items))).otherwise(_parsed(text=F.nullif(t, F.lit(""))))
-
-        return let(M.numbers(t), build)
-
-    return let(parts, lambda s: F.when(F.size(s) > 0, _parsed(sections=F.transform(s, section))).otherwise(let(body, numbered)))
-
-
-def with_references(p: Column, annex: Column) -> Column:
-    """A parsed tree with the references of its points, subpoints, items and annex intros, and the acts that items cite.
-
-    Null where there are none. A point's are those of its whole text, its subpoints included; items with subpoints leave
-    theirs to these, and items of dash lists have none.
-    """
-    found = lambda t: let(references(t), lambda r: F.when(F.size(r) > 0, r)).cast(REFERENCES)
-    sub = lambda s: s.withField("references", found(s["text"]))
-
-    def point(x: Column) -> Column:
-        below = F.transform(x["subpoints"], lambda s: F.concat(F.lit(" ("), s["label"], F.lit(") "), s["text"]))
-        whole = F.concat(F.coalesce(x["text"], F.lit("")), F.coalesce(F.array_join(below, ""), F.lit("")))
-        return x.withField("references", found(whole)).withField("subpoints", F.transform(x["subpoints"], sub))
-
-    def item(x: Column) -> Column:
-        leaf = x["number"].isNotNull() & (F.coalesce(F.size(x["subpoints"]), F.lit(0)) <= 0)
-        noted = lambda s: s.withField("references", found(F.concat_ws(" ", s["text"], s["note"])))
-        own = x.withField("references", F.when(leaf, found(x["text"]))).withField("cited_act", F.when(leaf, cited_act(x["text"])).cast(ACT))
-        return own.withField("subpoints", F.transform(x["subpoints"], noted))
-
-    listed = p["items"].isNotNull() & annex
-    return F.when(p.isNotNull(), F.struct(
-        p["intro"].alias("intro"), p["text"].alias("text"), F.when(listed & p["intro"].isNotNull(), found(p["intro"])).alias("references"),
-        F.transform(p["paragraphs"], lambda x: x.withField("points", F.transform(x["points"], point))).alias("paragraphs"),
-        F.transform(p["items"], item).alias("items"), F.transform(p["sections"], lambda x: x.withField("items", F.transform(x["items"], item))).alias("sections"),
-        p["closing"].alias("closing"),
-    ).cast(PARSED))
+    run.__annotations__ = {"t": pa.Array, "p": pa.Array, "return": pa.Array}
+    return F.arrow_udf(run, PARSED).asNondeterministic()(types, prose)
 
 
 # --------------------------------------------------------------------------------------------------------- blocks
@@ -291,7 +186,7 @@ def segments(docs: DataFrame) -> DataFrame:
     title the line after it, whatever that is; it goes on over annexes. Lines are cleaned and still hold tables.
     """
     df = with_parts(docs.select("doc_id", cleaned_lines(F.col("text")).alias("lines")))
-    out = df.select("doc_id", F.posexplode("parts").alias("seq", "p"))
+    out = df.select("doc_id", F.posexplode_outer("parts").alias("seq", "p")).where("p is not null")
     return out.select("doc_id", (F.col("seq") + 1).alias("seq"), "p.type", "p.number", "p.chapter", "p.lines")
 
 
@@ -321,17 +216,9 @@ def with_parts(df: DataFrame) -> DataFrame:
 
 
 @built_once
-def _expressions(fix_last_point: bool) -> tuple[Column, ...]:
-    """The parsed tree, from type and prose, and the blocks, from parsed and tables."""
-    rest = F.slice("prose", 2, F.greatest(F.size("prose") - 1, F.lit(0)))
-    article = parse_article(normalize_text(F.array_join(rest, " ")), fix_last_point)
-    parsed = F.when(F.col("type") == "article", article).when(F.size("prose") < 2, _parsed()).otherwise(parse_annex(rest))
-    return parsed, let(F.col("parsed"), lambda p: element_blocks(p, F.col("tables")))
-
-
-@built_once
-def _referring() -> tuple[Column, ...]:
-    return (with_references(F.col("parsed"), F.col("type") == "annex"),)
+def _blocks() -> tuple[Column, ...]:
+    """The blocks, from parsed and tables."""
+    return (let(F.col("parsed"), lambda p: element_blocks(p, F.col("tables"))),)
 
 
 def elements(docs: DataFrame, fix_last_point: bool = False) -> DataFrame:
@@ -351,10 +238,10 @@ def parsed_parts(df: DataFrame, fix_last_point: bool = False, tree: bool = True)
     tables = F.filter("lines", lambda x: x.startswith("|"))
     tail = F.when(F.col("type") == "article", F.concat(F.lit("art"), "number")).when(law, F.concat(F.lit("annex"), roman_to_int(F.col("number")).cast("string"))).otherwise(F.concat(F.lit("sec"), F.col("seq").cast("string")))
     df = df.withColumns({"id": F.concat("doc_id", F.lit(":"), tail), "prose": prose, "tables": tables}).drop("lines")
-    parsed, blocks = _expressions(fix_last_point)
-    df = df.withColumns({"title": F.when(law, normalize_text(F.get("prose", F.lit(0)))).otherwise(F.col("title")), "parsed": F.when(law, parsed)})
-    df = df.withColumn("blocks", with_ids(F.when(law, blocks).otherwise(F.col("blocks")), F.col("id")))
-    return df.withColumn("parsed", _referring()[0] if tree else F.lit(None).cast(PARSED)).drop("prose", "tables")
+    title = F.when(law, normalize_text(F.get("prose", F.lit(0)))).otherwise(F.col("title"))
+    df = df.withColumns({"title": title, "parsed": parsed_tree(F.col("type"), F.col("prose"), fix_last_point, tree)})
+    df = df.withColumn("blocks", with_ids(F.when(law, _blocks()[0]).otherwise(F.col("blocks")), F.col("id")))
+    return (df if tree else df.withColumn("parsed", F.lit(None).cast(PARSED))).drop("prose", "tables")
 
 
 def element_references(df: DataFrame) -> DataFrame:

@@ -159,3 +159,29 @@ def test_sidecars(spark):
     got = {r.stem: r for r in metadata.parse_sidecar(raw).collect()}
     assert (got["s 1"].doc_id, got["s 1"].extra) == ("a-b", {"domain": "food"}) and got["s2"].doc_id == "s2" and got["s3"].doc_id == "own"
     assert '"domain":"food"' in metadata.sidecar_json(metadata.parse_sidecar(raw)).where("doc_id = 'a-b'").first().json
+
+
+ODD = [
+    "²Article 3", "éArticle 4", "éArticle 5", "_Article 6", "see article 12a, second subparagraph, point (b) (ii) and Articles 9", "Chapter IV Section 2, Chapter V and chapters X",
+    "as in Directive 2001/5/EC of 3 June 2001 on the toys (OJ L 7, p. 9)", "Decision 2010/1/EU of 31 June 2010 on x", "Directive 2001/5/EC con é", "ſection, İ Article 7(2)", "",
+]
+
+
+def test_trees_read_as_columns(spark):
+    from lexweave.functions import trees
+
+    df = spark.createDataFrame([(t,) for t in ODD], "t string")
+    for t, r, a in df.select("t", refs.references(F.col("t")), refs.cited_act(F.col("t"))).collect():
+        assert (trees.references(t) or []) == [x.asDict() for x in r], t
+        assert trees.cited_act(t) == (a and a.asDict()), t
+
+
+@pytest.mark.parametrize(("mark", "field"), [("ANNEX IV", "items")])
+def test_elements_are_parsed_once(spark, mark, field):
+    """A filter that an explode brings in must not cut up or parse the documents once more."""
+    docs = spark.createDataFrame([("d", f"{mark}\nT\n1. Part 5: see Article 9(2)\n2. b")], "doc_id string, text string")
+    df = legal.elements(docs).select("id", F.explode(f"parsed.{field}").alias("i"))
+    assert [r.i.number for r in df.collect()] == ["1", "2"]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    assert not [x for x in plan.split("\n") if x.lstrip(" :+-").startswith("Filter") and "lambda" in x]
