@@ -176,7 +176,7 @@ def test_trees_read_as_columns(spark):
         assert trees.cited_act(t) == (a and a.asDict()), t
 
 
-@pytest.mark.parametrize(("mark", "field"), [("ANNEX IV", "items")])
+@pytest.mark.parametrize(("mark", "field"), [("ANNEX IV", "items"), ("Article 4", "paragraphs")])
 def test_elements_are_parsed_once(spark, mark, field):
     """A filter that an explode brings in must not cut up or parse the documents once more."""
     docs = spark.createDataFrame([("d", f"{mark}\nT\n1. Part 5: see Article 9(2)\n2. b")], "doc_id string, text string")
